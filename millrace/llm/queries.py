@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, mixing
+from millrace.llm import chat, decontaminate, mixing, substrings
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -77,9 +77,27 @@ FROM s GROUP BY conv_id
 """
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = substrings.dedup(read(spark, sf_dir, "documents"))
+    n = F.aggregate("removed", F.lit(0).cast("bigint"), lambda z, s: z + s.n_words)
+    return got.select("doc_id", "n_words", n.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP6_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS w FROM documents),
+t AS (SELECT r, doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS g FROM (SELECT *, unnest(range(1, len(w) - 48)) AS i FROM d)),
+m AS (SELECT g, min(doc_id) AS least FROM t GROUP BY g HAVING count(*) > 1),
+hit AS (SELECT r, list(DISTINCT p) AS ps FROM (SELECT r, unnest(range(i, i + 50)) AS p FROM t JOIN m USING (g) WHERE doc_id > least) GROUP BY r),
+u AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+h AS (SELECT r, unnest(ps) AS p, true AS gone FROM hit),
+k AS (SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(x, ' ' ORDER BY p) FILTER (gone IS NULL) AS kept FROM u LEFT JOIN h USING (r, p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_mix_sources": op2_mix_sources, "op3_chat_format": op3_chat_format}
+    return {"op1_decontaminate": op1_decontaminate, "op2_mix_sources": op2_mix_sources, "op3_chat_format": op3_chat_format, "op6_substring_dedup": op6_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op2_mix_sources": OP2_SQL, "op3_chat_format": OP3_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op2_mix_sources": OP2_SQL, "op3_chat_format": OP3_SQL, "op6_substring_dedup": OP6_SQL}
