@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, mixing, substrings
+from millrace.llm import chat, decontaminate, jaccard, mixing, substrings
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -77,6 +77,22 @@ FROM s GROUP BY conv_id
 """
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+OP5_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({LOWER.format('text')}, '{WORD}'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 75 * (a.n + b.n - o)),
+l AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, l.y FROM reach JOIN l ON l.x = reach.b)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.b AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = substrings.dedup(read(spark, sf_dir, "documents"))
     n = F.aggregate("removed", F.lit(0).cast("bigint"), lambda z, s: z + s.n_words)
@@ -96,8 +112,8 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_mix_sources": op2_mix_sources, "op3_chat_format": op3_chat_format, "op6_substring_dedup": op6_substring_dedup}
+    return {"op1_decontaminate": op1_decontaminate, "op2_mix_sources": op2_mix_sources, "op3_chat_format": op3_chat_format, "op5_jaccard_join": op5_jaccard_join, "op6_substring_dedup": op6_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op2_mix_sources": OP2_SQL, "op3_chat_format": OP3_SQL, "op6_substring_dedup": OP6_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op2_mix_sources": OP2_SQL, "op3_chat_format": OP3_SQL, "op5_jaccard_join": OP5_SQL, "op6_substring_dedup": OP6_SQL}
