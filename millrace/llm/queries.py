@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, mixing, substrings
+from millrace.llm import chat, decontaminate, jaccard, mixing, substrings, suffixes
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -111,8 +111,14 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 """
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffixes.dedup(read(spark, sf_dir, "documents"))
+    n = F.aggregate("removed", F.lit(0).cast("bigint"), lambda z, s: z + s.end - s.begin)
+    return got.select("doc_id", "n_bytes", n.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_mix_sources": op2_mix_sources, "op3_chat_format": op3_chat_format, "op5_jaccard_join": op5_jaccard_join, "op6_substring_dedup": op6_substring_dedup}
+    return {"op1_decontaminate": op1_decontaminate, "op2_mix_sources": op2_mix_sources, "op3_chat_format": op3_chat_format, "op5_jaccard_join": op5_jaccard_join, "op6_substring_dedup": op6_substring_dedup, "op8_suffix_dedup": op8_suffix_dedup}
 
 
 def oracle_sql() -> dict[str, str]:

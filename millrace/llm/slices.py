@@ -58,8 +58,8 @@ def widen(raw: bytes, size: int) -> np.ndarray:
     return out.view(np.uint64).reshape(-1)
 
 
-def pack(block: int, at: np.ndarray, row: np.ndarray, n_rows: int, hashes: np.ndarray, size: int, header: tuple[bytes, bytes], ids: bytes = b"") -> pa.RecordBatch:
-    """The rows of one block: its header, then its hashes by slice, in their order; row: of each hash, ascending; ids: goes with every slice."""
+def pack(block: int, at: np.ndarray, row: np.ndarray, n_rows: int, hashes: np.ndarray, size: int, header: tuple[bytes, bytes], ids: bytes = b"", more: np.ndarray | None = None) -> pa.RecordBatch:
+    """The rows of one block: its header, then its hashes by slice, in their order; row: of each hash, ascending; ids: goes with every slice; more: a second number of each hash."""
     n = len(at)
     own = slice_of(hashes, n)
     order = np.argsort(own.astype(np.uint16) if n < 65536 else own, kind="stable")
@@ -68,6 +68,9 @@ def pack(block: int, at: np.ndarray, row: np.ndarray, n_rows: int, hashes: np.nd
     used = np.flatnonzero(np.diff(edge))
     counts = [np.bincount(row[edge[s] : edge[s + 1]], minlength=n_rows).astype(np.uint32).tobytes() for s in used]
     sent = [narrow(hashes[edge[s] : edge[s + 1]], size) for s in used]
+    if more is not None:
+        more = more[order]
+        sent = [x + more[edge[s] : edge[s + 1]].tobytes() for x, s in zip(sent, used, strict=True)]
     home = at[block % n]
     return pa.RecordBatch.from_arrays(
         [pa.array([home, *at[used]], pa.int32()), pa.array([block] * (len(used) + 1), pa.int64()), pa.array([HEADER, *used], pa.int32()), pa.array([header[0], *counts], pa.binary()), pa.array([header[1], *sent], pa.binary()), pa.array([b"", *[ids] * len(used)], pa.binary())],
@@ -87,7 +90,7 @@ def block_id(*arrays: np.ndarray) -> int:
 class Gathered:
     """All rows of a reducer's partition."""
 
-    def __init__(self, batches: Iterator[pa.RecordBatch], size: int):
+    def __init__(self, batches: Iterator[pa.RecordBatch], size: int, more: bool = False):
         self.headers: list[tuple[int, bytes, bytes]] = []
         self.parts: list[tuple[int, int, np.ndarray, bytes]] = []
         raw = []
@@ -98,8 +101,10 @@ class Gathered:
                 else:
                     self.parts.append((block, s, np.frombuffer(counts, np.uint32), ids))
                     raw.append(hashes)
-        self.hashes = widen(b"".join(raw), size)
-        sizes = np.array([len(x) // size for x in raw], np.int64)
+        whole = size + 8 * more
+        sizes = np.array([len(x) // whole for x in raw], np.int64)
+        self.hashes = widen(b"".join([x[: n * size] for x, n in zip(raw, sizes.tolist(), strict=True)]) if more else b"".join(raw), size)
+        self.more = np.frombuffer(b"".join([x[n * size :] for x, n in zip(raw, sizes.tolist(), strict=True)]), np.uint64) if more else None
         self.edge = np.concatenate(([0], np.cumsum(sizes)))
 
     def ranked(self) -> tuple[np.ndarray, np.ndarray]:
@@ -118,8 +123,8 @@ class Gathered:
 ANSWER = "block bigint, slice int, counts binary, body binary"
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, bytes, dict[int, tuple[bytes, bytes]]]]:
-    """Header and answers by slice of each block of this partition."""
+def blocks_of(batches: Iterator[pa.RecordBatch], quiet: bool = False) -> Iterator[tuple[bytes, bytes, dict[int, tuple[bytes, bytes]]]]:
+    """Header and answers by slice of each block of this partition; quiet: of blocks without answers too."""
     headers: dict[int, tuple[bytes, bytes]] = {}
     bodies: dict[int, dict[int, tuple[bytes, bytes]]] = {}
     for batch in batches:
@@ -128,8 +133,15 @@ def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, bytes,
                 headers[block] = (counts, body)
             else:
                 bodies.setdefault(block, {})[s] = (counts, body)
-    for block, found in bodies.items():
-        yield *headers[block], found
+    for block in headers if quiet else bodies:
+        yield *headers[block], bodies.get(block, {})
+
+
+def order_sent(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order in which `pack` sends hashes, and each slice's place in it."""
+    own = slice_of(hashes, n)
+    order = np.argsort(own.astype(np.uint16) if n < 65536 else own, kind="stable")
+    return order, np.searchsorted(own[order], np.arange(n + 1))
 
 
 def exchange(df, send, reduce, regroup, schema: str):
