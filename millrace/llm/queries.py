@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, mixing, substrings, suffixes
+from millrace.llm import chat, decontaminate, embeddings, jaccard, lines, mixing, substrings, suffixes
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -77,6 +77,11 @@ FROM s GROUP BY conv_id
 """
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "removed_chunks", F.length("text").cast("bigint").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -111,6 +116,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 """
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.dedup(read(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
+OP7_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, l.y FROM reach JOIN l ON l.x = reach.b),
+c AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept FROM v LEFT JOIN n ON x = vec_id JOIN c ON a = vec_id
+"""
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = suffixes.dedup(read(spark, sf_dir, "documents"))
     n = F.aggregate("removed", F.lit(0).cast("bigint"), lambda z, s: z + s.end - s.begin)
@@ -118,8 +139,8 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_mix_sources": op2_mix_sources, "op3_chat_format": op3_chat_format, "op5_jaccard_join": op5_jaccard_join, "op6_substring_dedup": op6_substring_dedup, "op8_suffix_dedup": op8_suffix_dedup}
+    return {"op1_decontaminate": op1_decontaminate, "op2_mix_sources": op2_mix_sources, "op3_chat_format": op3_chat_format, "op4_line_dedup": op4_line_dedup, "op5_jaccard_join": op5_jaccard_join, "op6_substring_dedup": op6_substring_dedup, "op7_embedding_dedup": op7_embedding_dedup, "op8_suffix_dedup": op8_suffix_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op2_mix_sources": OP2_SQL, "op3_chat_format": OP3_SQL, "op5_jaccard_join": OP5_SQL, "op6_substring_dedup": OP6_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op2_mix_sources": OP2_SQL, "op3_chat_format": OP3_SQL, "op5_jaccard_join": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op7_embedding_dedup": OP7_SQL}
