@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, embeddings, jaccard, lines, mixing, substrings, suffixes
+from millrace.llm import chat, decontaminate, embeddings, jaccard, lines, mixing, ngram_lm, quality, substrings, suffixes
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -138,8 +138,17 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_bytes", n.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = quality.classify(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
+    return got.select("doc_id", F.round("importance", 6).alias("importance"), "accepted")
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_mix_sources": op2_mix_sources, "op3_chat_format": op3_chat_format, "op4_line_dedup": op4_line_dedup, "op5_jaccard_join": op5_jaccard_join, "op6_substring_dedup": op6_substring_dedup, "op7_embedding_dedup": op7_embedding_dedup, "op8_suffix_dedup": op8_suffix_dedup}
+    return {"op1_decontaminate": op1_decontaminate, "op2_mix_sources": op2_mix_sources, "op3_chat_format": op3_chat_format, "op4_line_dedup": op4_line_dedup, "op5_jaccard_join": op5_jaccard_join, "op6_substring_dedup": op6_substring_dedup, "op7_embedding_dedup": op7_embedding_dedup, "op8_suffix_dedup": op8_suffix_dedup, "op9_quality_classifier": op9_quality_classifier, "op10_lm_score": op10_lm_score}
 
 
 def oracle_sql() -> dict[str, str]:
