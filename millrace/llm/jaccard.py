@@ -87,16 +87,16 @@ def _sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, n, sid) of every row."""
+    """(id, key, text) to (id, key, n, sid) of every row."""
     for batch in batches:
-        data, offsets = K.rows_of(batch.column(1))
+        data, offsets = K.rows_of(batch.column(2))
         n, sid = [], []
         for i, j in K.blocks(offsets):
             _, row, sums = _sets(data, offsets[i : j + 1])
             count = np.bincount(row, minlength=j - i).tolist()
             n += count
             sid += [s.tobytes() if c else None for s, c in zip(sums, count, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.binary())], ["id", "n", "sid"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n, pa.int64()), pa.array(sid, pa.binary())], ["id", "key", "n", "sid"])
 
 
 def _send(at: np.ndarray):
@@ -328,14 +328,37 @@ def link(docs: DataFrame, *, text: str = "text") -> DataFrame:
         verified = scratch.table(verified.union(new), "verified")
 
 
-def groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, sid (equal for equal sets; null for none) and component_id (least id of its group)."""
+def _told(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, key, n, sid, component_id) of every row; key: hash of the text."""
     scratch.small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("key"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     linked = link(docs, text=text)
-    told = rows.mapInArrow(_describe, f"id {kind}, n bigint, sid binary")
-    told = scratch.table(told.join(linked, "sid", "left").select("id", "n", "sid", F.coalesce("component", "sid").alias("component")), "told")
+    told = rows.mapInArrow(_describe, f"id {kind}, key bigint, n bigint, sid binary")
+    told = scratch.table(told.join(linked, "sid", "left").select("id", "key", "n", "sid", F.coalesce("component", "sid").alias("component")), "told")
     least = scratch.table(told.where("component is not null").groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("m")).where("m > 1").select("component", "least"), "least")
-    got = told.join(least, "component", "left")
-    return got.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "sid", F.coalesce("least", "id").alias("component_id"))
+    return told.join(least, "component", "left").select("id", "key", "n", "sid", F.coalesce("least", "id").alias("component_id"))
+
+
+def groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: id, n_shingles, sid (equal for equal sets; null for none) and component_id (least id of its group)."""
+    return _told(docs, id, text).select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "sid", "component_id")
+
+
+def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` (its own columns) with one row of each group, that of the least id; rows without shingles all stay.
+
+    Of rows that share that id, the one with the least text hash stays.
+    """
+    told = _told(docs, id, text).where("sid is not null")
+    kept = told.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").agg(F.min("key").alias("key"), F.count("*").alias("m"))
+    gone = told.join(kept.select(F.col("id").alias("kid"), F.col("key").alias("kkey")), F.col("id").eqNullSafe(F.col("kid")) & (F.col("key") == F.col("kkey")), "left_anti").select("id", "key").distinct()
+    gone, again = scratch.table(gone, "gone"), not kept.where("m > 1").isEmpty()
+    names = [f"__k{k}" for k in range(len(docs.columns))]
+    of = dict(zip(docs.columns, names, strict=True))
+    rows = docs.toDF(*names).withColumn("__key", F.xxhash64(F.col(of[text]).cast("string")))
+    rest = rows.join(gone, rows[of[id]].eqNullSafe(gone.id) & (rows["__key"] == gone.key), "left_anti")
+    if again:
+        blank = F.coalesce(F.length(F.regexp_replace(of[text], r"[\x20\x09-\x0D]+", "")), F.lit(0)) == 0
+        rest = rest.where(blank).unionByName(rest.where(~blank).dropDuplicates([of[id], "__key"]))
+    return rest.select(*[F.col(n).alias(c) for c, n in of.items()])

@@ -54,10 +54,14 @@ def drop(df: DataFrame) -> None:
             mine.remove(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete all tables this session wrote here: call it when their readers are done."""
-    for path in _written.pop(spark.sparkContext.applicationId, []):
-        _remove(spark, path)
+def release(spark: SparkSession, keep: DataFrame | None = None) -> None:
+    """Delete all tables this session wrote here but those that `keep` reads: call it when their readers are done."""
+    mine = _written.get(spark.sparkContext.applicationId, [])
+    used = keep.inputFiles() if keep is not None and mine else []
+    for path in list(mine):
+        if not any(path.rsplit("/", 1)[-1] in file for file in used):
+            _remove(spark, path)
+            mine.remove(path)
 
 
 def _at_exit(spark: SparkSession, key: str) -> None:
