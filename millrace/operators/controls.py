@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from millrace.functions import text as T
+from millrace.shipping import ship
 
 RATIO = 3
 NEAR = 0.9
@@ -92,6 +93,7 @@ def surface_dedup(rows: DataFrame, order: str, mode: str = "band", text: str = "
     are found by `near_pairs` and decided in rounds, in parallel.
     """
     if mode == "band":
+        ship(rows.sparkSession)
         # One task by definition of the rule; use mode="global" beyond a few 100,000 rows
         return rows.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(_banded(order, text, threshold), rows.schema)
     gone = greedy_losers(near_pairs(rows, order, text, threshold).persist())
@@ -137,6 +139,7 @@ def diversify_entities(rows: DataFrame, order: str, most: int = RATIO, entities:
     Only rows with an entity of more than `most` mentions depend on one another; they are
     decided in order, in one group, and all others pass.
     """
+    ship(rows.sparkSession)
     named = rows.withColumn("_values", F.transform(F.coalesce(entities, F.array().cast(T.SPAN)), lambda e: F.lower(F.coalesce(e.text, F.lit("")))))
     common = named.select(F.explode("_values").alias("value")).groupBy("value").count().where(F.col("count") > most).select("value")
     contested = named.select(order, F.explode("_values").alias("value")).join(common, "value").groupBy(order).agg(F.collect_list("value").alias("values"))
@@ -217,6 +220,7 @@ def hard_negatives(rows: DataFrame, order: str, n: int, generate, task: str = "c
     generate(text, label, target) stands for the language model; it is called once a row
     in the workers.  The target is the least label other than the row's own.
     """
+    ship(rows.sparkSession)
     labels = rows.agg(F.array_sort(F.collect_set(label)).alias("_labels"))
     target = F.coalesce(F.try_element_at(F.filter("_labels", lambda x: x != F.col(label)), F.lit(1)), F.col(label))
     chosen = rows.orderBy(order).limit(n).crossJoin(F.broadcast(labels)).select(order, "text", label, target.alias("target"))

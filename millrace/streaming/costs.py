@@ -11,6 +11,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from millrace.operators.controls import BAND, NEAR
 from millrace.operators.traces import cost
+from millrace.shipping import ship
 
 
 def cost_rollup(events: DataFrame, ts: str = "ts", window: str = "1 day", late: str = "1 hour") -> DataFrame:
@@ -46,4 +47,5 @@ class _Recent(StatefulProcessor):
 
 def surface_dedup(rows: DataFrame, key: str) -> DataFrame:
     """Texts of a stream that are no near copy of their key's last kept ones, in arrival order (needs the RocksDB state store)."""
+    ship(rows.sparkSession)
     return rows.groupBy(key).transformWithStateInPandas(statefulProcessor=_Recent(), outputStructType=rows.schema, outputMode="Append", timeMode="None")
