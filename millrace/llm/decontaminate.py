@@ -133,7 +133,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, columns: list[str], text: str
     With a benchmark of several blocks the spans of different blocks may overlap.
     """
     spark = docs.sparkSession
-    scratch.small_batches(spark)
+    scratch.prepare(spark)
     tests = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(item_text).cast("string").alias("text"))
     chars = tests.agg(F.coalesce(F.sum(F.length("text") + F.lit(8)), F.lit(0)).alias("n")).first().n
     n_blocks = max(1, -(-chars // block_chars))

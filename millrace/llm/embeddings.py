@@ -137,7 +137,7 @@ def _compare(cosine: float):
 def dedup(rows: DataFrame, *, id: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = COSINE) -> DataFrame:
     """Per row: id, n_links (other vectors linked directly), component_id (least id linked, however far) and kept."""
     spark = rows.sparkSession
-    scratch.small_batches(spark, 2048)
+    scratch.prepare(spark, 2048)
     v = F.col("v")
     base = rows.select(F.col(id).alias("id"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("v"))
     finite = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))

@@ -292,7 +292,7 @@ def _score(share, model: Model, end: int):
 def score(docs: DataFrame, *, id: str = "doc_id", text: str = "text", out: Column | None = None, share_bytes: int = SHARE_BYTES) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10); out: which rows do not train (a fifth of the ids unless given)."""
     spark = docs.sparkSession
-    scratch.small_batches(spark)
+    scratch.prepare(spark)
     n_slices, at = scratch.partitions(spark), slices.labels(spark)
     rows = docs.select(F.col(id).alias("id"), (held_out(F.col(id)) if out is None else out).alias("held_out"), F.col(text).cast("string").alias("text"))
     built = rows.where(~F.col("held_out")).select("text").mapInArrow(_send(at), _PACKED).repartition(n_slices, "label").mapInArrow(_build, "slice int, tokens binary, counts binary, filter binary, n bigint, v bigint, bytes bigint")

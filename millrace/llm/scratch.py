@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.shipping import ship
+
 _written: dict[str, list[str]] = {}
 
 
@@ -73,8 +75,9 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Arrow batches of few rows for the session: texts can be long, and a batch is held whole."""
+def prepare(spark: SparkSession, rows: int = 512) -> None:
+    """Before Python runs on texts: the package goes to the workers, and Arrow batches get few rows, for a batch is held whole."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     have = int(spark.conf.get(key))
     if have <= 0 or have > rows:

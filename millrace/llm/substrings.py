@@ -144,7 +144,7 @@ def _cut(n_slices: int, width: int):
 def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """Per document: id, n_words, removed (maximal intervals of words) and kept (words left, one blank between)."""
     spark = docs.sparkSession
-    scratch.small_batches(spark)
+    scratch.prepare(spark)
     n = scratch.partitions(spark)
     rows = docs.select(F.col(id).cast("bigint").alias("id"), F.xxhash64(F.col(text).cast("string")).alias("key"), F.col(text).cast("string").alias("text"))
     marks = slices.exchange(rows, _send(slices.labels(spark), width), _mark, _per_document, "id bigint, key bigint, bits binary")
