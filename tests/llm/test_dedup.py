@@ -233,3 +233,24 @@ def test_big_buckets_are_compared_in_blocks(spark, monkeypatch):
 def test_empty_tables_and_only_nulls(spark, run):
     assert run(frame(spark, [])).count() == 0
     assert run(frame(spark, [(None, None), (1, None), (1, "")])).count() == 3
+
+
+@pytest.mark.parametrize("local", [0, 10**6])
+def test_components(spark, monkeypatch, local):
+    from millrace.llm import components
+
+    monkeypatch.setattr(components, "LOCAL_EDGES", local)
+    rng = random.Random(1)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1040)] + [(2000, k) for k in range(2001, 2030)]
+    up = {x: x for e in edges for x in e}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        up[y] = x
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {x: root(x) for e in edges if e[0] != e[1] for x in e}
