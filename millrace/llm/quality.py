@@ -3,16 +3,17 @@
 Two generative models over hashed word uni- and bigrams (blank-separated, A-Z lower-cased):
 the *target*, of the labelled rows that are good (quality 1, not toxic), and *raw*, of all
 documents.  A document's importance is the sum of its distinct n-grams' log ratios target/raw
-(distinct: a word that one text repeats thousands of times must not spoil its bucket; all
-bigrams of twice the same word share a bucket).  Counts are of all documents and all their words; the ratio of a bucket is smoothed towards
+(distinct: a word that one text repeats thousands of times must not spoil its bucket).
+Besides, pairs of marks that end words are n-grams, and so is the share of a text that
+says words twice in a row.  Counts are of all documents and all their words; the ratio of a bucket is smoothed towards
 1 with `PRIOR` pseudo-counts, and is 1 where its logarithm is under `EFFECT` or the target's
 count is within `SIGMAS` standard deviations of what raw predicts, so that chance
 differences of thousands of ordinary words do not add up in long texts.
 
 The documents kept are drawn by Gumbel top-k: key = importance + `TEMPERATURE` * Gumbel
 noise (seeded by the document's text and id), the k largest keys stay.  k is the number of documents
-whose importance reaches a cut, which is fitted on held-out labelled rows (balanced
-accuracy).  The k-th key is found by narrowing histograms, never by a global sort.
+whose importance reaches a cut, which is fitted on held-out labelled rows (a good
+one lost counts as `LOSS` bad ones kept).  The k-th key is found by narrowing histograms, never by a global sort.
 
 Bounds.  At most `LABELLED` labelled rows, those with the least hashes, are used, and sent
 to all workers; the two models are arrays of `BUCKETS` numbers.  Neither grows with the data.
@@ -42,13 +43,14 @@ UNIGRAMS, BIGRAMS = 1 << 20, 1 << 18
 BUCKETS = UNIGRAMS + BIGRAMS
 PRIOR, SIGMAS, OVERDISPERSION, EFFECT = 3.0, 4.0, 1.5, 0.7
 TEMPERATURE = 0.05
+LOSS = 2
 LABELLED = 400_000
 SEED = 11
 #: Part of the labelled rows that fits the models; the others fit the cut.
 FIT_FOLDS, FOLDS = 4, 5
 _SCALE = float(1 << 20)
 _PARTS = 16
-_TWICE = np.uint64(0)
+_MARKS, _TWICE = np.uint64(1 << 32), np.uint64(1 << 33)
 
 
 @dataclass
@@ -76,13 +78,23 @@ def labelled(labels: DataFrame, id: str, quality: str, toxic: str, most: int) ->
 
 
 def _grams(w: K.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a block's distinct uni- and bigrams of each row, and their rows; all bigrams of twice the same word are one."""
+    """Buckets of a block's distinct n-grams of each row, and their rows.
+
+    Uni- and bigrams of words; of words that end in two marks, those marks; and of a row
+    how much of it is words said twice in a row, by powers of two.
+    """
     two = K.window_hashes(w.hash, 2)
     at = np.flatnonzero(K.windows_within(w.first, 2, len(w.hash)))
     row = w.row()
-    two = np.where(w.hash[at] == w.hash[at + 1], _TWICE, two[at])
-    grams = np.concatenate((w.hash & np.uint64(UNIGRAMS - 1), np.uint64(UNIGRAMS) + (two & np.uint64(BIGRAMS - 1)))).astype(np.int64)
-    pairs = np.unique(np.concatenate((row, row[at])) * BUCKETS + grams)
+    last = w.data[w.end - 1].astype(np.uint64)
+    before = w.data[np.maximum(w.end - 2, w.start)].astype(np.uint64)
+    marked = np.flatnonzero(K.NON_ALNUM[last] & K.NON_ALNUM[before] & (w.end - w.start > 1))
+    twice = np.bincount(row[at][w.hash[at] == w.hash[at + 1]], minlength=len(w.first) - 1)
+    level = np.log2(1 + 64 * twice / np.maximum(np.diff(w.first), 1)).astype(np.int64)
+    said = np.flatnonzero(level)
+    shapes = K.mix(np.concatenate((_MARKS + last[marked] * np.uint64(256) + before[marked], _TWICE + level[said].astype(np.uint64))))
+    grams = np.concatenate((w.hash & np.uint64(UNIGRAMS - 1), np.uint64(UNIGRAMS) + (np.concatenate((two[at], shapes)) & np.uint64(BIGRAMS - 1)))).astype(np.int64)
+    pairs = np.unique(np.concatenate((row, row[at], row[marked], said)) * BUCKETS + grams)
     return pairs % BUCKETS, pairs // BUCKETS
 
 
@@ -165,13 +177,13 @@ def _score(share, temperature: float):
 
 
 def fit_cut(good: np.ndarray, bad: np.ndarray) -> float:
-    """The importance that best parts two samples (balanced accuracy); the lowest of equals."""
+    """The importance that parts two samples at the least cost (a good one lost: `LOSS`, a bad one kept: 1); the lowest of equals."""
     if not len(good) or not len(bad):
         return -np.inf
     values = np.unique(np.concatenate((good, bad)))
     cuts = np.concatenate(([values[0]], (values[1:] + values[:-1]) / 2))
     good, bad = np.sort(good), np.sort(bad)
-    right = (1 - np.searchsorted(good, cuts) / len(good)) + np.searchsorted(bad, cuts) / len(bad)
+    right = np.searchsorted(bad, cuts) - LOSS * np.searchsorted(good, cuts)
     return float(cuts[int(np.argmax(right))])
 
 
@@ -197,7 +209,7 @@ def kth_largest(table: DataFrame, column: str, k: int) -> float | None:
 def classify(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", quality: str = "quality", toxic: str = "toxic", most_labels: int = LABELLED, temperature: float = TEMPERATURE, k: int | None = None) -> DataFrame:
     """`docs` with importance and accepted (of the k drawn; k: fitted unless given)."""
     spark = docs.sparkSession
-    scratch.small_batches(spark)
+    scratch.prepare(spark)
     names = [f"__k{i}" for i in range(len(docs.columns))]
     of = dict(zip(docs.columns, names, strict=True))
     rows = docs.toDF(*names)
