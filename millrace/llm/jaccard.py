@@ -18,10 +18,12 @@ partner.
    the whole sets, and the links' components found.
 4. Lists that still hold several components are compared in full, members of different
    components pair by pair inside a task, lists of over `BLOCK` members in pairs of
-   blocks.  A parity sketch of 4 to 8 bits a shingle bounds a pair's overlap from above,
-   so pairs it rules out cannot link.  What is left is verified on the sets; this repeats
-   until no unverified pair is left.  No pair is emitted but such candidates, and no link
-   between different sets is lost.
+   blocks.  Two sets that link share enough behind the place where they first meet, so
+   the places in both orders bound their overlap; pairs over the bound are verified on
+   the sets.  A list sends `FAN` pairs a member at most; beyond that it sends a spanning
+   forest of the components its pairs would join, and is looked at again after the
+   verification.  No pair is emitted but such candidates, and no link between different
+   sets is lost.
 
 Sets hold the high 48 bits of shingle hashes: a false match inside one pair of sets of
 1000 has a chance of 4e-9.
@@ -49,6 +51,8 @@ from millrace.llm.components import components
 
 SHINGLE = 5
 BLOCK = 2048
+#: Candidate pairs a list may send at once, for each of its members.
+FAN = 16
 #: Largest size for which listing subsets is considered at all.
 LIGHT_MOST = 24
 _BYTES = 6
@@ -176,7 +180,7 @@ def boundary(loads: dict[int, float]) -> int:
 def _post(most: int):
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, owner = [], []
+            keys, owner, places = [], [], []
             for at, (n, held) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 h = slices.widen(held, _BYTES)
                 if n <= most:
@@ -185,93 +189,76 @@ def _post(most: int):
                         for chosen in combinations(ordered, shared_least(b)):
                             keys.append(_LIGHT_KEY | (int(K.mix(np.array([hash((b, *chosen)) & K._MASK64], np.uint64))[0]) >> 2))
                             owner.append(at)
+                            places.append(0)
                 if n > most or 4 * n >= 3 * (most + 1):
                     posted = max(0, n - shared_least(n) + 1 - (n - len(h)))
                     keys += (h[:posted] >> np.uint64(16)).tolist()
                     owner += [at] * posted
+                    places += range(n - len(h), n - len(h) + posted)
             take = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column(0).take(take), batch.column(1).take(take)], ["key", "sid", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column(0).take(take), batch.column(1).take(take), pa.array(places, pa.int32())], ["key", "sid", "n", "place"])
 
     return post
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sid, n, k, sketch): parity bits of the held shingles, a power of two of 64-bit words."""
-    for batch in batches:
-        out, ks = [], []
-        for held in batch.column(2).to_pylist():
-            h = slices.widen(held, _BYTES)
-            ks.append(len(h))
-            bits = 64 << max(0, math.ceil(math.log2(max(1, len(h)) / 16)))
-            place = K.mix(h) & np.uint64(bits - 1)
-            out.append(np.packbits((np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ks, pa.int32()), pa.array(out, pa.binary())], ["sid", "n", "k", "sketch"])
-
-
-def _fold(m: np.ndarray, words: int) -> np.ndarray:
-    """Parity sketches of more words, folded to `words`."""
-    while m.shape[-1] > words:
-        half = m.shape[-1] // 2
-        m = m[..., :half] ^ m[..., half:]
-    return m
-
-
-class _List:
-    """Members of one inverted list (or a pair of its blocks), in ascending order of size."""
-
-    def __init__(self, rows: list[tuple]):
-        rows.sort(key=lambda r: (r[2], r[0]))
-        self.sid, self.label = [r[0] for r in rows], [r[1] for r in rows]
-        self.n = np.array([r[2] for r in rows], np.int64)
-        self.k = np.array([r[3] for r in rows], np.int64)
-        self.sketch = [np.frombuffer(r[4], np.uint64) for r in rows]
-        self.side = np.array([r[5] for r in rows], np.int64)
-        self.failed = [r[6] or () for r in rows]
-
-    def candidates(self, apart: bool) -> Iterator[tuple[bytes, bytes]]:
-        """Pairs that may link, one at most for each two components it would join here; apart: only of different sides."""
-        number: dict = {}
-        comp = np.array([number.setdefault(x, len(number)) for x in self.label], np.int64)
-        folded: dict[int, np.ndarray] = {}
-        length = np.array([len(s) for s in self.sketch])
-        for i in range(len(self.sid) - 1):
-            j = np.arange(i + 1, int(np.searchsorted(3 * self.n, 4 * self.n[i], "right")))
-            j = j[comp[j] != comp[i]]
+def may_link(na, pa_, nb, pb):
+    """Whether sets of sizes na, nb that meet at places pa, pb of their orders, and not before, can share enough."""
+    return (4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb)) & (7 * np.minimum(na - pa_, nb - pb) >= 3 * (na + nb))
+
+
+def _list_pairs(rows: list[tuple], apart: bool) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs of a list's members (sid, label, n, place, side, failed) of different components that may link.
+
+    All of them, or, if they are more than `FAN` a member, a spanning forest of what they
+    would join (then True: look at this list again).  apart: only pairs of different sides.
+    """
+    rows.sort(key=lambda r: (r[2], r[0]))
+    number: dict = {}
+    label = np.array([number.setdefault(r[1], len(number)) for r in rows])
+    if len(number) < 2:
+        return [], False
+    n, place, side = (np.array([r[k] for r in rows], np.int64) for k in (2, 3, 4))
+
+    def found(comp: np.ndarray) -> Iterator[tuple[int, int]]:
+        for i in range(len(rows) - 1):
+            j = np.arange(i + 1, int(np.searchsorted(3 * n, 4 * n[i], "right")))
+            j = j[(comp[j] != comp[i]) & may_link(n[i], place[i], n[j], place[j])]
             if apart:
-                j = j[self.side[j] != self.side[i]]
-            if not len(j):
-                continue
-            words = int(length[i])
-            if words not in folded:
-                folded[words] = np.array([_fold(s, words) if len(s) >= words else np.zeros(words, np.uint64) for s in self.sketch])
-            own, theirs = self.sketch[i], folded[words][j]
-            smaller = length[j] < words
-            if smaller.any():  # fewer held shingles in a larger set: fold both to the shorter sketch
-                apart_bits = np.array([int(np.bitwise_count(_fold(own, min(words, len(self.sketch[x]))) ^ _fold(self.sketch[x], min(words, len(self.sketch[x])))).sum()) for x in j.tolist()])
-            else:
-                apart_bits = np.bitwise_count(theirs ^ own).sum(axis=1).astype(np.int64)
-            most = (self.k[i] + self.k[j] - apart_bits) // 2
-            for x in j[7 * most >= 3 * (self.n[i] + self.n[j])].tolist():
-                if comp[x] != comp[i] and self.sid[x] not in self.failed[i]:
-                    comp[comp == comp[x]] = comp[i]
-                    yield self.sid[i], self.sid[x]
+                j = j[side[j] != side[i]]
+            for x in j.tolist():
+                if not rows[i][5] or rows[x][0] not in rows[i][5]:
+                    yield i, x
+
+    out = []
+    for pair in found(label):
+        out.append(pair)
+        if len(out) > FAN * len(rows):
+            break
+    else:
+        return out, False
+    comp, out = label.copy(), []
+    for i, x in found(comp):
+        if comp[i] != comp[x]:
+            comp[comp == comp[x]] = comp[i]
+            out.append((i, x))
+    return out, True
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, low, high, sid, label, n, k, sketch, side, failed), sorted by the first three, to candidate pairs."""
+    """Rows (key, low, high, sid, label, n, place, side, failed), sorted by the first three, to candidate pairs."""
     def flush(now, rows):
-        pairs = list(_List(rows).candidates(now[1] != now[2]))
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
+        pairs, again = _list_pairs(rows, now[1] != now[2])
+        sid = [r[0] for r in rows]
+        return pa.RecordBatch.from_arrays([pa.array([sid[i] for i, _ in pairs], pa.binary()), pa.array([sid[x] for _, x in pairs], pa.binary()), pa.array([now[0] if again else None] * len(pairs), pa.int64())], ["a", "b", "again"])
 
     now, rows = None, []
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        for key, low, high, *row in zip(*columns, strict=True):
-            if now != (key, low, high):
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if now != row[:3]:
                 if len(rows) > 1:
                     yield flush(now, rows)
-                now, rows = (key, low, high), []
-            rows.append(tuple(row))
+                now, rows = row[:3], []
+            rows.append(row[3:])
     if len(rows) > 1:
         yield flush(now, rows)
 
@@ -298,46 +285,50 @@ def _lists(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     found = slices.exchange(docs.select(F.col(text).cast("string").alias("text")), _send(slices.labels(spark)), _frequencies, _candidates, "sid binary, n int, held binary, load bigint")
     sets = scratch.table(found.dropDuplicates(["sid"]), "sets")
     loads = {r.n: r.load for r in sets.where(F.col("n") <= LIGHT_MOST).groupBy("n").agg(F.avg("load").alias("load")).collect()}
-    posted = sets.select("sid", "n", "held").mapInArrow(_post(boundary(loads)), "key bigint, sid binary, n int")
-    shared = posted.groupBy("key").agg(F.min(F.struct("sid", "n")).alias("least"), F.max("sid").alias("most"), F.count("*").alias("members")).where(F.col("least.sid") < F.col("most"))
+    posted = sets.select("sid", "n", "held").mapInArrow(_post(boundary(loads)), "key bigint, sid binary, n int, place int")
+    shared = posted.groupBy("key").agg(F.min(F.struct("sid", "n", "place")).alias("least"), F.max("sid").alias("most"), F.count("*").alias("members")).where(F.col("least.sid") < F.col("most"))
     return sets, scratch.table(posted.join(shared.select("key", "least", "members"), "key"), "postings")
 
 
 def link(docs: DataFrame, *, text: str = "text") -> DataFrame:
     """(sid, component): every set with a link, and the least set it is linked to."""
     sets, postings = _lists(docs, text)
-    fits = lambda a, b: 4 * F.least(a, b) >= 3 * F.greatest(a, b)
-    stars = postings.where((F.col("sid") != F.col("least.sid")) & fits(F.col("n"), F.col("least.n"))).select(F.col("least.sid").alias("a"), F.col("sid").alias("b"))
+    fits = (4 * F.least("n", "least.n") >= 3 * F.greatest("n", "least.n")) & (7 * F.least(F.col("n") - F.col("place"), F.col("least.n") - F.col("least.place")) >= 3 * (F.col("n") + F.col("least.n")))
+    stars = postings.where((F.col("sid") != F.col("least.sid")) & fits).select(F.col("least.sid").alias("a"), F.col("sid").alias("b"))
     verified = _verified(stars, sets)
-    sketches = scratch.table(sets.select("sid", "n", "held").mapInArrow(_sketch, "sid binary, n int, k int, sketch binary"), "sketches")
     n = scratch.partitions(docs.sparkSession)
+    keys = None
     while True:
         groups = scratch.table(components(verified.where("ok"), "a", "b"), "groups")
-        named = postings.select("key", "sid", "members").join(groups, postings.sid == groups.node, "left").select("key", "sid", "members", F.coalesce("component", "sid").alias("label"))
+        chosen = postings if keys is None else postings.join(keys, "key", "left_semi")
+        named = chosen.join(groups, postings.sid == groups.node, "left").select("key", "sid", "n", "place", "members", F.coalesce("component", "sid").alias("label"))
         mixed = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
         failed = verified.where("not ok")
         failed = failed.select(F.col("a").alias("sid"), F.col("b").alias("other")).union(failed.select(F.col("b").alias("sid"), F.col("a").alias("other"))).groupBy("sid").agg(F.collect_set("other").alias("failed"))
-        active = named.join(mixed, "key").join(sketches, "sid").join(failed, "sid", "left")
+        active = named.join(mixed, "key").join(failed, "sid", "left")
         blocks = F.ceil(F.col("members") / BLOCK).cast("int")
         active = active.withColumn("side", F.pmod(F.hash("sid"), blocks)).withColumn("x", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        active = active.select("key", F.least("side", "x").alias("low"), F.greatest("side", "x").alias("high"), "sid", "label", "n", "k", "sketch", "side", "failed")
-        pairs = active.repartition(n, "key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_compare, "a binary, b binary")
-        new = _verified(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), sets)
-        if new.isEmpty():
+        active = active.select("key", F.least("side", "x").alias("low"), F.greatest("side", "x").alias("high"), "sid", "label", "n", "place", "side", "failed")
+        pairs = active.repartition(n, "key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_compare, "a binary, b binary, again bigint")
+        pairs = scratch.table(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "again"), "pairs")
+        if pairs.isEmpty():
             return groups.select(F.col("node").alias("sid"), "component")
-        verified = scratch.table(verified.union(new), "verified")
+        verified = scratch.table(verified.union(_verified(pairs.select("a", "b"), sets)), "verified")
+        keys = scratch.table(pairs.where("again is not null").select(F.col("again").alias("key")).distinct(), "again")
+        if keys.isEmpty():
+            return components(verified.where("ok"), "a", "b").select(F.col("node").alias("sid"), "component")
 
 
 def _told(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, key, n, sid, component_id) of every row; key: hash of the text."""
-    scratch.small_batches(docs.sparkSession)
+    """(id, key, n, sid, component, component_id) of every row; key: hash of the text."""
+    scratch.prepare(docs.sparkSession)
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("key"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     linked = link(docs, text=text)
     told = rows.mapInArrow(_describe, f"id {kind}, key bigint, n bigint, sid binary")
     told = scratch.table(told.join(linked, "sid", "left").select("id", "key", "n", "sid", F.coalesce("component", "sid").alias("component")), "told")
     least = scratch.table(told.where("component is not null").groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("m")).where("m > 1").select("component", "least"), "least")
-    return told.join(least, "component", "left").select("id", "key", "n", "sid", F.coalesce("least", "id").alias("component_id"))
+    return told.join(least, "component", "left").select("id", "key", "n", "sid", "component", F.coalesce("least", "id").alias("component_id"))
 
 
 def groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -348,12 +339,12 @@ def groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFr
 def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` (its own columns) with one row of each group, that of the least id; rows without shingles all stay.
 
-    Of rows that share that id, the one with the least text hash stays.
+    Of a group's rows that share that id, one with the least text hash stays.
     """
-    told = _told(docs, id, text).where("sid is not null")
-    kept = told.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").agg(F.min("key").alias("key"), F.count("*").alias("m"))
-    gone = told.join(kept.select(F.col("id").alias("kid"), F.col("key").alias("kkey")), F.col("id").eqNullSafe(F.col("kid")) & (F.col("key") == F.col("kkey")), "left_anti").select("id", "key").distinct()
-    gone, again = scratch.table(gone, "gone"), not kept.where("m > 1").isEmpty()
+    told = _told(docs, id, text).where("sid is not null").select("component", "id", "key")
+    kept = scratch.table(told.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("kept")), "kept")
+    gone = told.join(kept, "component").where(~(F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("key") == F.col("kept.key")))).select("id", "key").distinct()
+    gone, again = scratch.table(gone, "gone"), not told.groupBy("id", "key").count().where("count > 1").isEmpty()
     names = [f"__k{k}" for k in range(len(docs.columns))]
     of = dict(zip(docs.columns, names, strict=True))
     rows = docs.toDF(*names).withColumn("__key", F.xxhash64(F.col(of[text]).cast("string")))
