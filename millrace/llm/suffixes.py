@@ -9,8 +9,8 @@ equal strings have equal anchors but for REACH bytes at their ends.
 1. Doubling.  A phrase (the bytes between two anchors) is named by its hash.  All names
    meet in slices of the name space, where they are sorted; a name that is unique there
    is dropped.  At level j the pair of names of (i, i + 2**(j-1)) names 2**j phrases and
-   is sorted again; this goes on until no position is left that is neither unique nor
-   past the threshold (as many phrases as a string and its surroundings can need).
+   is sorted again; a document goes on until all its positions are unique or past the
+   threshold (as many phrases as its strings and their surroundings can need).
 2. Classes.  All strings with the same first inner anchor form a run of up to REACH
    starts.  A run is *inner* repeated if the phrases inside all its strings are, and
    *outer* repeated if the phrases that hold all its strings are.  Both are named from
@@ -153,11 +153,11 @@ def _unhead(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 _KEY = "id bigint, key bigint"
-_STATE = f"{_KEY}, gaps binary, names binary, level binary"
+_STATE = f"{_KEY}, gaps binary, names binary, level binary, need int"
 
 
 def _rows(schema: list[str], rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64()] + [pa.binary()] * (len(schema) - 2)
+    kinds = [pa.int64(), pa.int64(), *[pa.int32() if name == "need" else pa.binary() for name in schema[2:]]]
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], schema)
 
 
@@ -235,16 +235,26 @@ def _first_level(n_slices: int):
             cut = np.cumsum([len(g) for g in gaps])[:-1]
             out = []
             for k, (g, x, y) in enumerate(zip(gaps, np.split(names, cut), np.split(level, cut), strict=True)):
-                if _Runs(np.concatenate(([0], np.cumsum(g)))).possible(y, 0).any():
-                    out.append((int(ids[k]), int(keys[k]), g.astype(np.uint32).tobytes(), x.tobytes(), y.tobytes()))
+                need = _need(_Runs(np.concatenate(([0], np.cumsum(g)))), y, 0)
+                if need >= 0:
+                    out.append((int(ids[k]), int(keys[k]), g.astype(np.uint32).tobytes(), x.tobytes(), y.tobytes(), need))
             if out:
-                yield _rows(["id", "key", "gaps", "names", "level"], out)
+                yield _rows(["id", "key", "gaps", "names", "level", "need"], out)
 
     return regroup
 
 
+def _need(runs: _Runs, level: np.ndarray, upto: int) -> int:
+    """Highest level that a document's runs can need; -1: none of them can be repeated."""
+    at = runs.possible(level, upto)
+    if not at.any():
+        return -1
+    outer = at & runs.spans(level, runs.outer, runs.n_outer, upto)
+    return int(np.log2(max(1, int(runs.n_inner[at].max(initial=1)), int(runs.n_outer[outer].max(initial=1)))))
+
+
 def _documents(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    for id, key, gaps, names, level in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+    for id, key, gaps, names, level in zip(*(c.to_pylist() for c in batch.columns[:5]), strict=True):
         yield id, key, np.frombuffer(gaps, np.uint32), np.frombuffer(names, np.uint64), np.frombuffer(level, np.int8)
 
 
@@ -304,10 +314,11 @@ def _next_level(n_slices: int, upto: int):
             for (id, key, gaps, names, level), (at, _), own in zip(chosen, sent, many, strict=True):
                 level = level.copy()
                 level[at[own]] = upto
-                if _Runs(np.concatenate(([0], np.cumsum(gaps)))).possible(level, upto).any():
-                    out.append((id, key, gaps.tobytes(), names.tobytes(), level.tobytes()))
+                need = _need(_Runs(np.concatenate(([0], np.cumsum(gaps)))), level, upto)
+                if need >= 0:
+                    out.append((id, key, gaps.tobytes(), names.tobytes(), level.tobytes(), need))
             if out:
-                yield _rows(["id", "key", "gaps", "names", "level"], out)
+                yield _rows(["id", "key", "gaps", "names", "level", "need"], out)
 
     return regroup
 
@@ -426,32 +437,31 @@ def _cut(n_slices: int):
     return cut
 
 
-def _longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Most phrases that a run of each document can need."""
-    for batch in batches:
-        most = [int(_Runs(np.concatenate(([0], np.cumsum(gaps)))).n_outer.max(initial=1)) for _, _, gaps, _, _ in _documents(batch)]
-        yield pa.RecordBatch.from_arrays([pa.array(most, pa.int64())], ["most"])
-
-
 def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, n_bytes, removed (maximal byte runs [begin, end)) and kept (bytes left)."""
     spark = docs.sparkSession
-    scratch.small_batches(spark)
+    scratch.prepare(spark)
     n, at = scratch.partitions(spark), slices.labels(spark)
     rows = docs.select(F.col(id).alias("own"), F.xxhash64(F.col(id).cast("string")).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("key"), F.col(text).cast("string").alias("text"))
     texts = rows.select("id", "key", "text")
     state = scratch.table(slices.exchange(texts, _send_phrases(at), _repeated(names=True), _first_level(n), _STATE), "phrases")
-    most = state.mapInArrow(_longest, "most bigint").agg(F.max("most")).first()[0] or 1
-    level = 1
-    while (1 << level) <= most:
+    done, level = [], 0
+    while True:
+        # Documents whose runs need no more phrases are past the threshold and wait.
+        level += 1
+        done.append(state.where(F.col("need") < level))
+        active = state.where(F.col("need") >= level)
+        if active.isEmpty():
+            break
         grow = (lambda upto: lambda gaps, names, known: (_grow(names, known, upto)[1],))(level)
-        new = scratch.table(slices.exchange(state, _send_state(at, grow, more=False), _repeated(names=False), _next_level(n, level), _STATE), "phrases")
-        scratch.drop(state)
-        state, level = new, level + 1
+        state = scratch.table(slices.exchange(active, _send_state(at, grow, more=False), _repeated(names=False), _next_level(n, level), _STATE), "phrases")
+    state = done[0]
+    for more in done[1:]:
+        state = state.union(more)
     runs = slices.exchange(state, _send_state(at, lambda *s: _run_names(*s)[:2], more=True), _classes, _run_codes(n), f"{_KEY}, sure binary, open binary")
     runs = scratch.table(runs.dropDuplicates(["id", "key"]), "runs")
-    scratch.drop(state)
-    compare = texts.join(runs.where(F.length("open") > 0).select("id", "key", "open"), ["id", "key"]).select("id", "key", "text", "open")
+    # Both joins take the same columns of the rows, so the texts are shuffled once.
+    compare = rows.join(runs.where(F.length("open") > 0).select("id", "key", "open"), ["id", "key"]).select("id", "key", "text", "open", "own")
     marks = slices.exchange(compare, _send_strings(at), _repeated(names=False), _per_document, f"{_KEY}, bits binary")
     marks = runs.join(marks.groupBy("id", "key").agg(F.first("bits").alias("bits")), ["id", "key"], "left")
     joined = rows.join(marks, ["id", "key"], "left").select("own", "text", "sure", "open", "bits")
