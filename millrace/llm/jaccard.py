@@ -52,7 +52,7 @@ from millrace.llm.components import components
 SHINGLE = 5
 BLOCK = 2048
 #: Candidate pairs a list may send at once, for each of its members.
-FAN = 16
+FAN = 64
 #: Largest size for which listing subsets is considered at all.
 LIGHT_MOST = 24
 _BYTES = 6
@@ -313,8 +313,8 @@ def link(docs: DataFrame, *, text: str = "text") -> DataFrame:
         pairs = scratch.table(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "again"), "pairs")
         if pairs.isEmpty():
             return groups.select(F.col("node").alias("sid"), "component")
-        verified = scratch.table(verified.union(_verified(pairs.select("a", "b"), sets)), "verified")
-        keys = scratch.table(pairs.where("again is not null").select(F.col("again").alias("key")).distinct(), "again")
+        verified = verified.union(_verified(pairs.select("a", "b"), sets))
+        keys = pairs.where("again is not null").select(F.col("again").alias("key")).distinct()
         if keys.isEmpty():
             return components(verified.where("ok"), "a", "b").select(F.col("node").alias("sid"), "component")
 
