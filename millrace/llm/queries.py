@@ -78,7 +78,7 @@ FROM s GROUP BY conv_id
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    got = lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), runs=True)
     return got.select("doc_id", "removed_chunks", F.length("text").cast("bigint").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

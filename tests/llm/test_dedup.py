@@ -178,6 +178,64 @@ def test_line_dedup(spark, corpus):
         assert got[i] == (b"\n".join(keep).decode(), gone)
 
 
+def without_runs(rows):
+    seen, out = {}, []
+    for k, (i, t) in enumerate(rows):
+        for n in range((t or "").count("\n")):
+            w = tuple(t.split("\n")[n : n + 2])
+            if any(w):
+                seen[w] = min(seen.get(w, (float("inf"), "", 0)), (float("inf") if i is None else i, t, n))
+    for i, t in rows:
+        if t is None:
+            out.append((i, None, 0))
+            continue
+        ls = t.split("\n")
+        drop = set()
+        for n in range(len(ls) - 1):
+            if any(ls[n : n + 2]) and seen[tuple(ls[n : n + 2])] != (float("inf") if i is None else i, t, n):
+                drop |= {n, n + 1}
+        for n in range(len(ls) if drop else 0):
+            if not ls[n]:
+                a, b = n, n
+                while a >= 0 and not ls[a] and a not in drop:
+                    a -= 1
+                while b < len(ls) and not ls[b] and b not in drop:
+                    b += 1
+                if (a < 0 or a in drop) and (b == len(ls) or b in drop):
+                    drop.add(n)
+        kept = "\n".join(x for n, x in enumerate(ls) if n not in drop)
+        out.append((i, kept, sum(n in drop and n - 1 not in drop for n in range(len(ls)))))
+    return out
+
+
+def test_line_runs_go_whatever_is_around_them(spark, corpus):
+    rng = random.Random(12)
+    fresh = lambda n: [" ".join(f"n{rng.randrange(10**9)}" for _ in range(12)) for _ in range(n)]
+    rows, planted = list(corpus), {}
+    for k in range(30):
+        run = fresh(rng.randrange(2, 7))
+        rows.append((1000 + k, "\n".join(fresh(rng.randrange(4)) + run + fresh(rng.randrange(1, 4)))))
+        around = fresh(rng.randrange(1, 4)), fresh(rng.randrange(4))
+        rows.append((2000 + k, "\n".join(around[0] + run + around[1])))
+        planted[2000 + k] = "\n".join(around[0] + around[1])
+    one = fresh(1)[0]
+    rows += [(3000 + k, "\n".join([fresh(1)[0], one, fresh(1)[0]])) for k in range(3)]
+    rows += [(None, "p\nq\nr"), (None, "p\nq\nr"), (9, "p\nq\nr\ns"), (9, "p\nq\nr\ns"), (8, "\n\nq\nr\n\n\nt\nt\nt"), (7, "u\n\n\n\nv"), (10, "u\n\n\n\nv"), (11, "\n\n\n\nu\n\n\n\nv")]
+    got = [(r.doc_id, r.text, r.removed_chunks) for r in lines.dedup(frame(spark, rows), runs=True).collect()]
+    assert sorted(got, key=str) == sorted(without_runs(rows), key=str)
+    kept = {i: t for i, t, _ in got}
+    assert {i: kept[i] for i in planted} == planted and all(one in kept[3000 + k] for k in range(3)) and kept[10] == ""
+
+
+def test_line_query_drops_runs(spark, tmp_path):
+    from millrace.llm import queries
+
+    texts = [f"{a}1\n{a}2\nthe passage has\ntwo lines of its own\n{a}3" for a in "abcdefgh"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.kept_chars for r in queries.op4_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: len(texts[0]) if i == 0 else len("a1\na2\na3") for i in range(8)}
+
+
 def test_line_chunks_resist_shifts():
     rng = random.Random(4)
     body = [f"line {rng.random()}" for _ in range(60)]
