@@ -380,6 +380,16 @@ def _run_codes(n_slices: int):
     return regroup
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, key, lists of sure and of open) of repeated rows to their unions: any one of them may be another's partner."""
+    for batch in batches:
+        rows = []
+        for id, key, *both in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            pairs = [np.unique(np.frombuffer(b"".join(x), np.int32).reshape(-1, 2), axis=0) if len(x) > 1 else x[0] for x in both]
+            rows.append((id, key, *[p if isinstance(p, bytes) else p.tobytes() for p in pairs]))
+        yield _rows(["id", "key", "sure", "open"], rows)
+
+
 def _starts(pairs: bytes) -> np.ndarray:
     p = np.frombuffer(pairs, np.int32).reshape(-1, 2).astype(np.int64)
     n = p[:, 1] - p[:, 0] + 1
@@ -459,7 +469,8 @@ def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFra
     for more in done[1:]:
         state = state.union(more)
     runs = slices.exchange(state, _send_state(at, lambda *s: _run_names(*s)[:2], more=True), _classes, _run_codes(n), f"{_KEY}, sure binary, open binary")
-    runs = scratch.table(runs.dropDuplicates(["id", "key"]), "runs")
+    runs = runs.groupBy("id", "key").agg(F.collect_set("sure").alias("sure"), F.collect_set("open").alias("open")).mapInArrow(_merged, f"{_KEY}, sure binary, open binary")
+    runs = scratch.table(runs, "runs")
     # Both joins take the same columns of the rows, so the texts are shuffled once.
     compare = rows.join(runs.where(F.length("open") > 0).select("id", "key", "open"), ["id", "key"]).select("id", "key", "text", "open", "own")
     marks = slices.exchange(compare, _send_strings(at), _repeated(names=False), _per_document, f"{_KEY}, bits binary")

@@ -158,6 +158,29 @@ def test_suffix_dedup(spark, corpus, seed):
     assert got == want
 
 
+def test_suffix_repeated_rows_are_partners(spark, monkeypatch):
+    """Of repeated rows (same id, or none) only one is sent to be compared, and it may come after the others."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(17)
+    text = lambda n: "".join(rng.choice("abcdefgh \n") for _ in range(n))
+    rows = []
+    for k in range(6):
+        passage = text(rng.randrange(401, 900))
+        a = text(rng.randrange(1, 700)) + passage + text(rng.randrange(1, 700))
+        rows += [(2 * k if k % 2 else None, a)] * 2 + [(2 * k + 1, text(rng.randrange(1, 700)) + passage + text(rng.randrange(1, 700)))]
+    exchange = suffixes.slices.exchange
+
+    def turned(*args):
+        got = exchange(*args)
+        return got.coalesce(1).sortWithinPartitions(F.length("open")) if "open" in got.columns else got
+
+    monkeypatch.setattr(suffixes.slices, "exchange", turned)
+    want = [(i, *w) for (i, _), w in zip(rows, brute_suffix([t for _, t in rows]), strict=True)]
+    got = [(r.doc_id, r.n_bytes, sum(s.end - s.begin for s in r.removed), len(r.removed), bytes(r.kept)) for r in suffixes.dedup(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_line_dedup(spark, corpus):
     got = {r.doc_id: (r.text, r.removed_chunks) for r in lines.dedup(frame(spark, corpus)).collect()}
     seen = set()
