@@ -226,3 +226,57 @@ def test_lm_cases(spark):
     only = spark.createDataFrame([(k, "a b") for k in range(40) if held(k)], "doc_id long, text string")
     got = ngram_lm.score(only).collect()
     assert got and all(r.train_tokens == 0 and r.score == 0 for r in got)
+
+
+def test_quality_against_dictionaries(spark):
+    """Counts, ratios, importances and the draw, one n-gram and one text at a time."""
+    from math import log, log2, sqrt
+
+    from millrace.llm import textkernel as K
+
+    docs, labels = labelled(spark)
+    labels = labels.where("doc_id % 2 = 0 or doc_id % 3 = 0")
+    rows = [(r.doc_id, r.text, r.h) for r in docs.select("doc_id", "text", F.xxhash64("text", "doc_id").alias("h")).collect()]
+    sample = quality.labelled(labels, "doc_id", "quality", "toxic", quality.LABELLED)
+    known = {i: (g, f) for i, g, f in zip(sample.ids.tolist(), sample.good.tolist(), sample.fit.tolist(), strict=True)}
+    shape = lambda level: quality.UNIGRAMS + int(K.mix(np.array([quality._TWICE + np.uint64(level)]))[0]) % quality.BIGRAMS
+    said = sorted({g for _, t, _ in rows for w in [t.split()] for g in [*((x,) for x in w), *zip(w[:-1], w[1:], strict=True)]})
+    raw = [" ".join(g).encode() for g in said]
+    one = K.words_of(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(x) for x in raw]), K.BLANK, lower=True)
+    bucket, at = {}, 0
+    for g in said:
+        h = one.hash[at : at + len(g)]
+        bucket[g] = int(h[0]) % quality.UNIGRAMS if len(g) == 1 else quality.UNIGRAMS + int(K.window_hashes(h, 2)[0]) % quality.BIGRAMS
+        at += len(g)
+    own, target, total = {}, Counter(), Counter()
+    for i, t, _ in rows:
+        w = t.split()
+        two = list(zip(w[:-1], w[1:], strict=True))
+        level = int(log2(1 + 64 * sum(a == b for a, b in two) / len(w)))
+        own[i] = {bucket[(x,)] for x in w} | {bucket[g] for g in two} | ({shape(level)} if level else set())
+        total.update(own[i])
+        if known.get(i) == (True, True):
+            target.update(own[i])
+    upto, share = 0, None
+    for s, n in sorted((target[b] / n, n) for b, n in total.items()):
+        upto += n
+        if upto >= sum(total.values()) / 2:
+            share = s
+            break
+    value = {}
+    for b, n in total.items():
+        expected = n * share
+        x = log((target[b] + 3) / (expected + 3))
+        if abs(target[b] - expected) > 4 * sqrt(1.5 * (expected + 1)) and abs(x) >= 0.7:
+            value[b] = round(x * 2**20) / 2**20
+    want = {i: sum(value.get(b, 0) for b in own[i]) for i in own}
+    held = [(want[i], g) for i, (g, f) in known.items() if not f]
+    cost = lambda c: sum(quality.LOSS if g else 0 for x, g in held if x < c) + sum(not g for x, g in held if x >= c)
+    values = sorted({x for x, _ in held})
+    cut = min([values[0], *((a + b) / 2 for a, b in zip(values[:-1], values[1:], strict=True))], key=cost)
+    k = sum(x >= cut for x in want.values())
+    noise = quality._noise(np.array([h for *_, h in rows]))
+    drawn = {i for _, i in sorted(((want[i] + 0.05 * e, i) for (i, *_), e in zip(rows, noise.tolist(), strict=True)), reverse=True)[:k]}
+    got = quality.classify(docs, labels).collect()
+    assert {r.doc_id: r.importance for r in got} == pytest.approx(want, abs=1e-9)
+    assert {r.doc_id for r in got if r.accepted} == drawn and 0 < len(drawn) < len(rows)
