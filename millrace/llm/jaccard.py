@@ -16,14 +16,13 @@ partner.
    which listing subsets costs no more than scanning lists, both measured on the sets.
 3. A list links its members to its least member; these candidate pairs are verified on
    the whole sets, and the links' components found.
-4. Lists that still hold several components are compared in full, members of different
-   components pair by pair inside a task, lists of over `BLOCK` members in pairs of
-   blocks.  Two sets that link share enough behind the place where they first meet, so
-   the places in both orders bound their overlap; pairs over the bound are verified on
-   the sets.  A list sends `FAN` pairs a member at most; beyond that it sends a spanning
-   forest of the components its pairs would join, and is looked at again after the
-   verification.  No pair is emitted but such candidates, and no link between different
-   sets is lost.
+4. Lists that still hold several components are compared in full.  Their members bring
+   their shingles along, so a list's task verifies its pairs itself, each pair in the list
+   where the two sets first meet, and gives a spanning forest of the links between
+   different components: fewer rows than the list has members, however many pairs link.
+   Members of a list's biggest component are compared only with those outside it.  Lists
+   of over `BLOCK` shingles are dealt out in blocks.  No link between different sets is
+   lost.
 
 Sets hold the high 48 bits of shingle hashes: a false match inside one pair of sets of
 1000 has a chance of 4e-9.
@@ -50,9 +49,8 @@ from millrace.llm import textkernel as K
 from millrace.llm.components import components
 
 SHINGLE = 5
-BLOCK = 2048
-#: Candidate pairs a list may send at once, for each of its members.
-FAN = 64
+#: Shingles of a list's members that are compared in one task; larger lists are cut to blocks of so many.
+BLOCK = 1 << 20
 #: Largest size for which listing subsets is considered at all.
 LIGHT_MOST = 24
 _BYTES = 6
@@ -206,50 +204,63 @@ def may_link(na, pa_, nb, pb):
     return (4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb)) & (7 * np.minimum(na - pa_, nb - pb) >= 3 * (na + nb))
 
 
-def _list_pairs(rows: list[tuple], apart: bool) -> tuple[list[tuple[int, int]], bool]:
-    """Pairs of a list's members (sid, label, n, place, side, failed) of different components that may link.
-
-    All of them, or, if they are more than `FAN` a member, a spanning forest of what they
-    would join (then True: look at this list again).  apart: only pairs of different sides.
+class _Members:
+    """Members (sid, label, big, n, place, side, held) of a list, with an index from their shingles to them."""
+
+    def __init__(self, rows: list[tuple]):
+        self.sid = [r[0] for r in rows]
+        number: dict = {}
+        self.comp = np.array([number.setdefault(r[1], len(number)) for r in rows])
+        self.big = np.array([r[2] for r in rows], bool)
+        self.n, self.place, self.side = (np.array([r[k] for r in rows], np.int64) for k in (3, 4, 5))
+        held = [slices.widen(r[6], _BYTES) for r in rows]
+        count = np.array([len(h) for h in held], np.int64)
+        self.edge = np.concatenate(([0], np.cumsum(count)))
+        _, self.code = np.unique(np.concatenate(held), return_inverse=True)
+        order = np.argsort(self.code, kind="stable")
+        self.member = np.repeat(np.arange(len(rows)), count)[order]
+        self.first = np.searchsorted(self.code[order], np.arange(int(self.code.max(initial=-1)) + 2))
+        # The shingles that no other set holds come first in a set's order, and are not in `held`.
+        self.before = np.clip(self.place - (self.n - count), 0, count)
+
+    def sharing(self, i: int, upto: int | None = None) -> np.ndarray:
+        """Of each member, how many of i's first `upto` shingles (of all) it holds."""
+        c = self.code[self.edge[i] : self.edge[i + 1]][:upto]
+        begin, size = self.first[c], self.first[c + 1] - self.first[c]
+        at = np.repeat(begin - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum())) if len(c) else np.empty(0, np.int64)
+        return np.bincount(self.member[at], minlength=len(self.sid))
+
+
+def _list_links(rows: list[tuple], apart: bool, light: bool) -> list[tuple[bytes, bytes]]:
+    """A spanning forest of the links between different components of a list's members.
+
+    Pairs are compared where they first meet only (lists of subsets, which are small
+    sets', compare all); apart: only pairs of different sides.  Two members of the
+    list's biggest component need no comparison, so it is never walked.
     """
-    rows.sort(key=lambda r: (r[2], r[0]))
-    number: dict = {}
-    label = np.array([number.setdefault(r[1], len(number)) for r in rows])
-    if len(number) < 2:
-        return [], False
-    n, place, side = (np.array([r[k] for r in rows], np.int64) for k in (2, 3, 4))
-
-    def found(comp: np.ndarray) -> Iterator[tuple[int, int]]:
-        for i in range(len(rows) - 1):
-            j = np.arange(i + 1, int(np.searchsorted(3 * n, 4 * n[i], "right")))
-            j = j[(comp[j] != comp[i]) & may_link(n[i], place[i], n[j], place[j])]
-            if apart:
-                j = j[side[j] != side[i]]
-            for x in j.tolist():
-                if not rows[i][5] or rows[x][0] not in rows[i][5]:
-                    yield i, x
-
-    out = []
-    for pair in found(label):
-        out.append(pair)
-        if len(out) > FAN * len(rows):
-            break
-    else:
-        return out, False
-    comp, out = label.copy(), []
-    for i, x in found(comp):
-        if comp[i] != comp[x]:
-            comp[comp == comp[x]] = comp[i]
-            out.append((i, x))
-    return out, True
+    m, out = _Members(rows), []
+    for i in np.flatnonzero(~m.big).tolist():
+        may = (m.comp != m.comp[i]) & may_link(m.n[i], m.place[i], m.n, m.place)
+        if apart:
+            may &= m.side != m.side[i]
+        if not light and may.any():
+            may &= m.sharing(i, int(m.before[i])) == 0
+        if not may.any():
+            continue
+        both = m.sharing(i)
+        linked = np.flatnonzero(may & (100 * both >= 75 * (m.n[i] + m.n - both)))
+        comps, first = np.unique(m.comp[linked], return_index=True)
+        if len(comps):
+            out += [(m.sid[i], m.sid[x]) for x in linked[first].tolist()]
+            m.comp[np.isin(m.comp, comps)] = m.comp[i]
+    return out
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, low, high, sid, label, n, place, side, failed), sorted by the first three, to candidate pairs."""
+    """Rows (key, low, high, sid, label, big, n, place, side, held), sorted by the first three, to links (a, b)."""
     def flush(now, rows):
-        pairs, again = _list_pairs(rows, now[1] != now[2])
-        sid = [r[0] for r in rows]
-        return pa.RecordBatch.from_arrays([pa.array([sid[i] for i, _ in pairs], pa.binary()), pa.array([sid[x] for _, x in pairs], pa.binary()), pa.array([now[0] if again else None] * len(pairs), pa.int64())], ["a", "b", "again"])
+        links = _list_links(rows, now[1] != now[2], now[0] >= _LIGHT_KEY)
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
 
     now, rows = None, []
     for batch in batches:
@@ -290,33 +301,40 @@ def _lists(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     return sets, scratch.table(posted.join(shared.select("key", "least", "members"), "key"), "postings")
 
 
+def _blocks(active: DataFrame) -> DataFrame:
+    """Members of lists dealt to tasks (key, low, high): members outside the list's biggest component meet everyone, those inside it meet only them.
+
+    A list of `BLOCK` shingles at most is one task.  Else both kinds are cut to blocks of
+    that size: tasks (low, high) of two blocks of others, and tasks (-1 - high, low) of a
+    block of the biggest component and one of others.
+    """
+    size = active.groupBy("key").agg(*[F.ceil(F.sum(F.when(of, F.length("held") / _BYTES)) / BLOCK).cast("int").alias(name) for of, name in ((F.col("big"), "bigs"), (~F.col("big"), "others"))], F.ceil(F.sum(F.length("held") / _BYTES) / BLOCK).cast("int").alias("blocks"))
+    active = active.join(size.select("key", F.greatest("blocks", F.lit(1)).alias("blocks"), F.greatest(F.coalesce("bigs", F.lit(1)), F.lit(1)).alias("bigs"), F.greatest(F.coalesce("others", F.lit(1)), F.lit(1)).alias("others")), "key")
+    side = F.pmod(F.hash("sid"), F.when(F.col("big"), F.col("bigs")).otherwise(F.col("others")))
+    task = lambda low, high: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
+    with_others = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda x: F.when(F.col("big"), task(-1 - F.col("side"), x)).otherwise(task(F.least("side", x), F.greatest("side", x))))
+    with_bigs = F.transform(F.sequence(F.lit(0), F.col("bigs") - 1), lambda x: task(-1 - x, F.col("side")))
+    tasks = F.when(F.col("blocks") == 1, F.array(task(F.lit(0), F.lit(0)))).when(F.col("big"), with_others).otherwise(F.concat(with_others, with_bigs))
+    dealt = active.withColumn("side", side).withColumn("task", F.explode(tasks))
+    # In a task of two kinds of blocks, the sides tell the kinds apart.
+    mark = F.when(F.col("task.low") < 0, F.col("big").cast("int")).otherwise(F.col("side"))
+    return dealt.select("key", "task.low", "task.high", "sid", "label", "big", "n", "place", mark.alias("side"), "held")
+
+
 def link(docs: DataFrame, *, text: str = "text") -> DataFrame:
     """(sid, component): every set with a link, and the least set it is linked to."""
     sets, postings = _lists(docs, text)
     fits = (4 * F.least("n", "least.n") >= 3 * F.greatest("n", "least.n")) & (7 * F.least(F.col("n") - F.col("place"), F.col("least.n") - F.col("least.place")) >= 3 * (F.col("n") + F.col("least.n")))
     stars = postings.where((F.col("sid") != F.col("least.sid")) & fits).select(F.col("least.sid").alias("a"), F.col("sid").alias("b"))
-    verified = _verified(stars, sets)
+    links = _verified(stars, sets).where("ok").select("a", "b")
+    groups = scratch.table(components(links, "a", "b"), "groups")
+    named = postings.join(groups, postings.sid == groups.node, "left").select("key", "sid", "n", "place", F.coalesce("component", "sid").alias("label"))
+    often = named.groupBy("key", "label").agg(F.count("*").alias("m"))
+    mixed = often.groupBy("key").agg(F.max(F.struct("m", "label")).alias("most"), F.count("*").alias("labels")).where("labels > 1").select("key", F.col("most.label").alias("most"))
+    active = named.join(mixed, "key").withColumn("big", F.col("label") == F.col("most")).join(sets.select("sid", "held"), "sid")
     n = scratch.partitions(docs.sparkSession)
-    keys = None
-    while True:
-        groups = scratch.table(components(verified.where("ok"), "a", "b"), "groups")
-        chosen = postings if keys is None else postings.join(keys, "key", "left_semi")
-        named = chosen.join(groups, postings.sid == groups.node, "left").select("key", "sid", "n", "place", "members", F.coalesce("component", "sid").alias("label"))
-        mixed = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-        failed = verified.where("not ok")
-        failed = failed.select(F.col("a").alias("sid"), F.col("b").alias("other")).union(failed.select(F.col("b").alias("sid"), F.col("a").alias("other"))).groupBy("sid").agg(F.collect_set("other").alias("failed"))
-        active = named.join(mixed, "key").join(failed, "sid", "left")
-        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-        active = active.withColumn("side", F.pmod(F.hash("sid"), blocks)).withColumn("x", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        active = active.select("key", F.least("side", "x").alias("low"), F.greatest("side", "x").alias("high"), "sid", "label", "n", "place", "side", "failed")
-        pairs = active.repartition(n, "key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_compare, "a binary, b binary, again bigint")
-        pairs = scratch.table(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "again"), "pairs")
-        if pairs.isEmpty():
-            return groups.select(F.col("node").alias("sid"), "component")
-        verified = verified.union(_verified(pairs.select("a", "b"), sets))
-        keys = pairs.where("again is not null").select(F.col("again").alias("key")).distinct()
-        if keys.isEmpty():
-            return components(verified.where("ok"), "a", "b").select(F.col("node").alias("sid"), "component")
+    more = _blocks(scratch.table(active, "active")).repartition(n, "key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_compare, "a binary, b binary")
+    return components(links.union(scratch.table(more, "links")), "a", "b").select(F.col("node").alias("sid"), "component")
 
 
 def _told(docs: DataFrame, id: str, text: str) -> DataFrame:

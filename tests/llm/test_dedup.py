@@ -90,13 +90,31 @@ def test_jaccard_small_sets_meet_by_subsets(spark):
     assert jaccard.boundary({n: 1e9 for n in range(1, 30)}) == jaccard.LIGHT_MOST and jaccard.boundary({4: 2.0}) < 4
 
 
-def test_list_pairs_beyond_the_fan(monkeypatch):
-    monkeypatch.setattr(jaccard, "FAN", 1)
-    rows = [(bytes([i]), bytes([i]), 10, 0, 0, None) for i in range(9)]
-    pairs, again = jaccard._list_pairs(list(rows), False)
-    assert again and len(pairs) == 8
-    pairs, again = jaccard._list_pairs(rows[:2], False)
-    assert not again and pairs == [(0, 1)]
+def test_a_list_gives_a_forest_of_its_links():
+    held = jaccard.slices.narrow(np.arange(1, 11, dtype=np.uint64) << np.uint64(16), 6)
+    rows = [(bytes([i]), bytes([i]), i == 0, 10, 0, i % 2, held) for i in range(9)]
+    assert len(jaccard._list_links(list(rows), False, False)) == 8
+    assert len(jaccard._list_links(list(rows), True, False)) == 8  # two sides: every pair of sides links
+    assert jaccard._list_links(rows[::2], True, False) == []
+    later = [(*r[:4], 1, *r[5:]) for r in rows]
+    assert jaccard._list_links(later, False, False) == []  # they met before, in the list of their first shingle
+    assert len(jaccard._list_links(later, False, True)) == 8
+
+
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 2000])
+def test_large_group_of_near_copies(spark, monkeypatch, block):
+    """Copies that the least of a list does not link to meet pair by pair, and a list gives fewer links than it has members."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = random.Random(5)
+    rows = []
+    for g in range(3):
+        base = [f"g{g}w{k}" for k in range(60)]
+        for i in range((300, 40, 8)[g]):
+            w = list(base)
+            for _ in range(rng.randrange(5)):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(300)}"
+            rows.append((len(rows), " ".join(w)))
+    test_jaccard_groups(spark, rows)
 
 
 def test_null_and_repeated_ids(spark):
