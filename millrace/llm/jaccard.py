@@ -16,8 +16,9 @@ partner.
    which listing subsets costs no more than scanning lists, both measured on the sets.
 3. A list links its members to its least member; these candidate pairs are verified on
    the whole sets, and the links' components found.
-4. Lists that still hold several components are compared in full.  Their members bring
-   their shingles along, so a list's task verifies its pairs itself, each pair in the list
+4. Lists that still hold several components, their least member left out, are compared in
+   full.  Members that have a possible partner by sizes and places bring their shingles
+   along, so a list's task verifies its pairs itself, each pair in the list
    where the two sets first meet, and gives a spanning forest of the links between
    different components: fewer rows than the list has members, however many pairs link.
    Members of a list's biggest component are compared only with those outside it.  Lists
@@ -51,6 +52,8 @@ from millrace.llm.components import components
 SHINGLE = 5
 #: Shingles of a list's members that are compared in one task; larger lists are cut to blocks of so many.
 BLOCK = 1 << 20
+#: Lists of at most so many members are looked through for possible partners before their sets are fetched; larger ones are compared in any case.
+WALKED = 4096
 #: Largest size for which listing subsets is considered at all.
 LIGHT_MOST = 24
 _BYTES = 6
@@ -123,12 +126,11 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.diff(np.append(starts, len(order)))
         df = np.empty(len(order), np.uint16)
         df[order] = np.repeat(np.minimum(size, 65535), size)
-        for (block, s, counts, _), a, b in zip(got.parts, got.edge[:-1].tolist(), got.edge[1:].tolist(), strict=True):
+        for (block, s, whose, _), a, b in zip(got.parts, got.edge[:-1].tolist(), got.edge[1:].tolist(), strict=True):
             many = df[a:b] > 1
             if many.any():
-                row = np.repeat(np.arange(len(counts)), counts)[many]
-                body = np.bincount(row, minlength=len(counts)).astype(np.uint32).tobytes()
-                bodies.append((block, s, body, slices.narrow(got.hashes[a:b][many], _BYTES) + df[a:b][many].tobytes()))
+                row = slices.owners(whose)[many]
+                bodies.append((block, s, slices.pack_owners(row, int(row[-1]) + 1), slices.narrow(got.hashes[a:b][many], _BYTES) + df[a:b][many].tobytes()))
     yield got.answers(bodies)
 
 
@@ -138,10 +140,9 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for counts, sums, found in slices.blocks_of(batches):
         n = np.frombuffer(counts, np.uint32).astype(np.int64)
         rows, hashes, dfs = [], [], []
-        for count, body in found.values():
-            count = np.frombuffer(count, np.uint32)
-            k = int(count.sum())
-            rows.append(np.repeat(np.arange(len(n)), count))
+        for whose, body in found.values():
+            rows.append(slices.owners(whose))
+            k = len(rows[-1])
             hashes.append(slices.widen(body[: k * _BYTES], _BYTES))
             dfs.append(np.frombuffer(body, np.uint16, k, k * _BYTES))
         row, h, df = np.concatenate(rows), np.concatenate(hashes), np.concatenate(dfs)
@@ -204,6 +205,36 @@ def may_link(na, pa_, nb, pb):
     return (4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb)) & (7 * np.minimum(na - pa_, nb - pb) >= 3 * (na + nb))
 
 
+def _partnered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of lists (key, members, sid, label, big, n, place), sorted by key, the members that have a partner by size and place in another component."""
+    def flush(rows):
+        number: dict = {}
+        comp = np.array([number.setdefault(r[3], len(number)) for r in rows])
+        n, place = (np.array([r[k] for r in rows], np.int64) for k in (5, 6))
+        fine = np.zeros(len(rows), bool)
+        for i in np.flatnonzero([not r[4] for r in rows]).tolist():
+            may = (comp != comp[i]) & may_link(n[i], place[i], n, place)
+            if may.any():
+                fine |= may
+                fine[i] = True
+        return [r for r, f in zip(rows, fine.tolist(), strict=True) if f]
+
+    now, rows = None, []
+    for batch in batches:
+        kept = []
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if rows and now != row[0]:
+                kept += flush(rows)
+                rows = []
+            now = row[0]
+            rows.append(row)
+        schema = batch.schema
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in kept], f.type) for k, f in enumerate(schema)], schema=schema)
+    if rows:
+        kept = flush(rows)
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in kept], f.type) for k, f in enumerate(schema)], schema=schema)
+
+
 class _Members:
     """Members (sid, label, big, n, place, side, held) of a list, with an index from their shingles to them."""
 
@@ -328,11 +359,15 @@ def link(docs: DataFrame, *, text: str = "text") -> DataFrame:
     stars = postings.where((F.col("sid") != F.col("least.sid")) & fits).select(F.col("least.sid").alias("a"), F.col("sid").alias("b"))
     links = _verified(stars, sets).where("ok").select("a", "b")
     groups = scratch.table(components(links, "a", "b"), "groups")
-    named = postings.join(groups, postings.sid == groups.node, "left").select("key", "sid", "n", "place", F.coalesce("component", "sid").alias("label"))
+    # The pairs of a list's least member have been verified, so it need not meet the others again.
+    rest = postings.where(F.col("sid") != F.col("least.sid"))
+    named = rest.join(groups, rest.sid == groups.node, "left").select("key", "sid", "n", "place", F.coalesce("component", "sid").alias("label"))
     often = named.groupBy("key", "label").agg(F.count("*").alias("m"))
-    mixed = often.groupBy("key").agg(F.max(F.struct("m", "label")).alias("most"), F.count("*").alias("labels")).where("labels > 1").select("key", F.col("most.label").alias("most"))
-    active = named.join(mixed, "key").withColumn("big", F.col("label") == F.col("most")).join(sets.select("sid", "held"), "sid")
+    mixed = often.groupBy("key").agg(F.max(F.struct("m", "label")).alias("most"), F.count("*").alias("labels"), F.sum("m").alias("members")).where("labels > 1").select("key", F.col("most.label").alias("most"), "members")
     n = scratch.partitions(docs.sparkSession)
+    active = named.join(mixed, "key").withColumn("big", F.col("label") == F.col("most")).select("key", "members", "sid", "label", "big", "n", "place")
+    few = active.where(F.col("members") <= WALKED).repartition(n, "key").sortWithinPartitions("key").mapInArrow(_partnered, active.schema)
+    active = few.union(active.where(F.col("members") > WALKED)).join(sets.select("sid", "held"), "sid")
     more = _blocks(scratch.table(active, "active")).repartition(n, "key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_compare, "a binary, b binary")
     return components(links.union(scratch.table(more, "links")), "a", "b").select(F.col("node").alias("sid"), "component")
 
