@@ -10,6 +10,10 @@ Slices are as many as ``spark.sql.shuffle.partitions`` and their labels are chos
 that each falls into a partition of its own: a reducer's memory is the input's hashes
 divided by that number, and follows the setting, not the input.  Hot hashes only make
 longer runs in a sorted array.
+
+Which document a hash belongs to goes as counts of all the block's documents while these
+are fewer bytes, else as a number for each hash: so a row is as large as its hashes,
+whatever the number of slices.
 """
 
 from __future__ import annotations
@@ -25,8 +29,8 @@ from millrace.llm import scratch
 from millrace.llm import textkernel as K
 
 #: A row of the exchange; `slice` -1 would be a header, which carries a block's documents.
-SCHEMA = "label int, block bigint, slice int, counts binary, hashes binary, ids binary"
-_ARROW = pa.schema([("label", pa.int32()), ("block", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary()), ("hashes", pa.binary()), ("ids", pa.binary())])
+SCHEMA = "label int, block bigint, slice int, owners binary, hashes binary, ids binary"
+_ARROW = pa.schema([("label", pa.int32()), ("block", pa.int64()), ("slice", pa.int32()), ("owners", pa.binary()), ("hashes", pa.binary()), ("ids", pa.binary())])
 HEADER = -1
 
 
@@ -58,6 +62,23 @@ def widen(raw: bytes, size: int) -> np.ndarray:
     return out.view(np.uint64).reshape(-1)
 
 
+def pack_owners(row: np.ndarray, n_rows: int) -> bytes:
+    """Rows (ascending) that hashes belong to: a count of each of the block's rows, or, if that is shorter, the rows themselves."""
+    kind = np.uint16 if n_rows <= 65536 else np.uint32
+    if 4 * n_rows <= len(row) * np.dtype(kind).itemsize:
+        return b"c" + np.bincount(row, minlength=n_rows).astype(np.uint32).tobytes()
+    return (b"s" if kind is np.uint16 else b"l") + row.astype(kind).tobytes()
+
+
+def owners(raw: bytes) -> np.ndarray:
+    """The rows that `pack_owners` packed."""
+    if raw[:1] == b"c":
+        counts = np.frombuffer(raw, np.uint32, -1, 1) if len(raw) > 1 else np.empty(0, np.uint32)
+        return np.repeat(np.arange(len(counts)), counts)
+    kind = np.uint16 if raw[:1] == b"s" else np.uint32
+    return (np.frombuffer(raw, kind, -1, 1) if len(raw) > 1 else np.empty(0, kind)).astype(np.int64)
+
+
 def pack(block: int, at: np.ndarray, row: np.ndarray, n_rows: int, hashes: np.ndarray, size: int, header: tuple[bytes, bytes], ids: bytes = b"", more: np.ndarray | None = None) -> pa.RecordBatch:
     """The rows of one block: its header, then its hashes by slice, in their order; row: of each hash, ascending; ids: goes with every slice; more: a second number of each hash."""
     n = len(at)
@@ -66,14 +87,14 @@ def pack(block: int, at: np.ndarray, row: np.ndarray, n_rows: int, hashes: np.nd
     hashes, row, own = hashes[order], row[order], own[order]
     edge = np.searchsorted(own, np.arange(n + 1))
     used = np.flatnonzero(np.diff(edge))
-    counts = [np.bincount(row[edge[s] : edge[s + 1]], minlength=n_rows).astype(np.uint32).tobytes() for s in used]
+    whose = [pack_owners(row[edge[s] : edge[s + 1]], n_rows) for s in used]
     sent = [narrow(hashes[edge[s] : edge[s + 1]], size) for s in used]
     if more is not None:
         more = more[order]
         sent = [x + more[edge[s] : edge[s + 1]].tobytes() for x, s in zip(sent, used, strict=True)]
     home = at[block % n]
     return pa.RecordBatch.from_arrays(
-        [pa.array([home, *at[used]], pa.int32()), pa.array([block] * (len(used) + 1), pa.int64()), pa.array([HEADER, *used], pa.int32()), pa.array([header[0], *counts], pa.binary()), pa.array([header[1], *sent], pa.binary()), pa.array([b"", *[ids] * len(used)], pa.binary())],
+        [pa.array([home, *at[used]], pa.int32()), pa.array([block] * (len(used) + 1), pa.int64()), pa.array([HEADER, *used], pa.int32()), pa.array([header[0], *whose], pa.binary()), pa.array([header[1], *sent], pa.binary()), pa.array([b"", *[ids] * len(used)], pa.binary())],
         schema=_ARROW,
     )
 
@@ -92,14 +113,14 @@ class Gathered:
 
     def __init__(self, batches: Iterator[pa.RecordBatch], size: int, more: bool = False):
         self.headers: list[tuple[int, bytes, bytes]] = []
-        self.parts: list[tuple[int, int, np.ndarray, bytes]] = []
+        self.parts: list[tuple[int, int, bytes, bytes]] = []
         raw = []
         for batch in batches:
-            for block, s, counts, hashes, ids in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4, 5)), strict=True):
+            for block, s, whose, hashes, ids in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4, 5)), strict=True):
                 if s == HEADER:
-                    self.headers.append((block, counts, hashes))
+                    self.headers.append((block, whose, hashes))
                 else:
-                    self.parts.append((block, s, np.frombuffer(counts, np.uint32), ids))
+                    self.parts.append((block, s, whose, ids))
                     raw.append(hashes)
         whole = size + 8 * more
         sizes = np.array([len(x) // whole for x in raw], np.int64)
@@ -114,13 +135,13 @@ class Gathered:
         return order, np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.empty(0, np.int64)
 
     def answers(self, bodies: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
-        """Answer rows (block, slice, counts, body), and the headers that came here."""
+        """Answer rows (block, slice, owners, body), and the headers that came here."""
         rows = [(b, HEADER, x, y) for b, x, y in self.headers] + bodies
         kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["block", "slice", "counts", "body"])
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["block", "slice", "owners", "body"])
 
 
-ANSWER = "block bigint, slice int, counts binary, body binary"
+ANSWER = "block bigint, slice int, owners binary, body binary"
 
 
 def blocks_of(batches: Iterator[pa.RecordBatch], quiet: bool = False) -> Iterator[tuple[bytes, bytes, dict[int, tuple[bytes, bytes]]]]:
@@ -128,11 +149,11 @@ def blocks_of(batches: Iterator[pa.RecordBatch], quiet: bool = False) -> Iterato
     headers: dict[int, tuple[bytes, bytes]] = {}
     bodies: dict[int, dict[int, tuple[bytes, bytes]]] = {}
     for batch in batches:
-        for block, s, counts, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for block, s, whose, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if s == HEADER:
-                headers[block] = (counts, body)
+                headers[block] = (whose, body)
             else:
-                bodies.setdefault(block, {})[s] = (counts, body)
+                bodies.setdefault(block, {})[s] = (whose, body)
     for block in headers if quiet else bodies:
         yield *headers[block], bodies.get(block, {})
 

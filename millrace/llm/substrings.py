@@ -63,13 +63,13 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bodies = []
     if got.parts:
         order, starts = got.ranked()
-        owner = np.concatenate([np.repeat(np.frombuffer(ids, np.int64), counts) for _, _, counts, ids in got.parts])[order]
+        owner = np.concatenate([np.frombuffer(ids, np.int64)[slices.owners(whose)] for _, _, whose, ids in got.parts])[order]
         least = np.minimum.reduceat(owner, starts)
         marked = np.empty(len(order), bool)
         marked[order] = owner > np.repeat(least, np.diff(np.append(starts, len(order))))
-        for (block, s, counts, _), a, b in zip(got.parts, got.edge[:-1].tolist(), got.edge[1:].tolist(), strict=True):
+        for (block, s, whose, _), a, b in zip(got.parts, got.edge[:-1].tolist(), got.edge[1:].tolist(), strict=True):
             if marked[a:b].any():
-                bodies.append((block, s, counts.tobytes(), np.packbits(marked[a:b]).tobytes()))
+                bodies.append((block, s, whose, np.packbits(marked[a:b]).tobytes()))
     yield got.answers(bodies)
 
 
@@ -78,13 +78,11 @@ def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for ids, keys, found in slices.blocks_of(batches):
         ids, keys = np.frombuffer(ids, np.int64), np.frombuffer(keys, np.int64)
         out: dict[int, list[bytes]] = {}
-        for s, (counts, body) in sorted(found.items()):
-            counts = np.frombuffer(counts, np.uint32).astype(np.int64)
-            edge = np.concatenate(([0], np.cumsum(counts)))
-            bits = np.unpackbits(np.frombuffer(body, np.uint8), count=int(edge[-1]))
-            hit = np.flatnonzero(bits)
-            for row in np.unique(np.searchsorted(edge, hit, "right") - 1).tolist():
-                own = bits[edge[row] : edge[row + 1]]
+        for s, (whose, body) in sorted(found.items()):
+            owner = slices.owners(whose)
+            bits = np.unpackbits(np.frombuffer(body, np.uint8), count=len(owner))
+            for row in np.unique(owner[bits > 0]).tolist():
+                own = bits[np.searchsorted(owner, row) : np.searchsorted(owner, row, "right")]
                 out.setdefault(row, []).append(np.array([s, len(own)], np.uint32).tobytes() + np.packbits(own).tobytes())
         rows = sorted(out)
         yield pa.RecordBatch.from_arrays([pa.array(ids[rows], pa.int64()), pa.array(keys[rows], pa.int64()), pa.array([b"".join(out[r]) for r in rows], pa.binary())], ["id", "key", "bits"])

@@ -161,6 +161,10 @@ def _rows(schema: list[str], rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], schema)
 
 
+def _slice_kind(n_slices: int):
+    return np.uint16 if n_slices <= 65536 else np.uint32
+
+
 def _send_phrases(at: np.ndarray):
     """Level 0: the names of all phrases; the header has their gaps and slices."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +187,7 @@ def _send_phrases(at: np.ndarray):
                 if names:
                     h = np.concatenate(names)
                     row = np.repeat(np.arange(len(names)), [len(x) for x in names])
-                    header = (_head(ids[i + rows], keys[i + rows]), _lists(gaps, np.uint32) + slices.slice_of(h, len(at)).astype(np.uint16).tobytes())
+                    header = (_head(ids[i + rows], keys[i + rows]), _lists(gaps, np.uint32) + slices.slice_of(h, len(at)).astype(_slice_kind(len(at))).tobytes())
                     yield slices.pack(number.next(ids[i + rows], keys[i + rows]), at, row, len(names), h, 8, header)
 
     return send
@@ -199,10 +203,10 @@ def _repeated(names: bool):
             size = np.diff(np.append(starts, len(order)))
             many = np.empty(len(order), bool)
             many[order] = np.repeat(size > 1, size)
-            for (block, s, counts, _), a, b in zip(got.parts, got.edge[:-1].tolist(), got.edge[1:].tolist(), strict=True):
+            for (block, s, whose, _), a, b in zip(got.parts, got.edge[:-1].tolist(), got.edge[1:].tolist(), strict=True):
                 own = many[a:b]
                 if own.any():
-                    bodies.append((block, s, counts.tobytes(), np.packbits(own).tobytes() + (got.hashes[a:b][own].tobytes() if names else b"")))
+                    bodies.append((block, s, whose, np.packbits(own).tobytes() + (got.hashes[a:b][own].tobytes() if names else b"")))
         yield got.answers(bodies)
 
     return reduce
@@ -223,7 +227,7 @@ def _first_level(n_slices: int):
         for head, body, found in slices.blocks_of(batches):
             ids, keys = _unhead(head)
             gaps, rest = _unlists(body, len(ids), np.uint32)
-            own = np.frombuffer(rest, np.uint16)
+            own = np.frombuffer(rest, _slice_kind(n_slices))
             order = np.argsort(own, kind="stable")
             edge = np.searchsorted(own[order], np.arange(n_slices + 1))
             many = _bits(found, order, edge)
@@ -353,9 +357,9 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partner = sure & new_out & (np.bincount(group_in, weights=open_)[group_in] > 0)
         code = np.empty(len(order), np.uint8)
         code[order] = sure * _SURE + (open_ | partner) * _SHIP
-        for (block, s, counts, _), a, b in zip(got.parts, got.edge[:-1].tolist(), got.edge[1:].tolist(), strict=True):
+        for (block, s, whose, _), a, b in zip(got.parts, got.edge[:-1].tolist(), got.edge[1:].tolist(), strict=True):
             if code[a:b].any():
-                bodies.append((block, s, counts.tobytes(), code[a:b].tobytes()))
+                bodies.append((block, s, whose, code[a:b].tobytes()))
     yield got.answers(bodies)
 
 
