@@ -123,7 +123,7 @@ def _banded(order: str, text: str, threshold: float):
         kept = []
         for at, value in enumerate(group[text].fillna("")):
             own = set(value.lower().split())
-            if own and any(len(own & other) >= threshold * len(own | other) for other in recent):
+            if own and any(len(own & other) / len(own | other) >= threshold for other in recent):
                 continue
             kept.append(at)
             if own:

@@ -63,6 +63,34 @@ def valid_config(rank: Column, rate: Column) -> Column:
     return (rank.isNull() | rank.isin(*RANKS)) & (rate > 0) & (rate < 1)
 
 
+# The two configurations that are trained when nothing else is proposed.
+DEFAULT_CONFIGS = [
+    ("A: LoRA r=8", 8, 2e-4, 3, 8),
+    ("B: full_ft", None, 1e-4, 5, 4),
+]
+
+
+def default_configs(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(DEFAULT_CONFIGS, "label string, lora_rank int, learning_rate double, nr_epochs int, batch_size int")
+
+
+def config_label(config: Column, rank: Column, rate: Column, epochs: Column) -> Column:
+    """Label of a proposed configuration, e.g. 'A: LLM-hp r=8 lr=2e-04 ep=3'."""
+    kind = F.when(config == "A", "LLM-hp").otherwise("LoRA")
+    return F.concat(config, F.lit(": "), kind, F.lit(" r="), F.coalesce(rank.cast("string"), F.lit("None")), F.lit(" lr="), F.format_string("%.0e", rate), F.lit(" ep="), epochs.cast("string"))
+
+
+def pass_lines(checked: DataFrame, storage_mb: Column, memory_mb: Column, ttft_ms: Column, chip: Column) -> Column:
+    """Markdown of a model's check against the limits; its columns come from `check`, sizes from the catalogue."""
+    said = lambda c: F.when(F.col(c), "PASS").otherwise("FAIL")
+    s = lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.concat_ws("\n",
+        F.concat(F.lit("- Storage: "), s("int4_size_mb"), F.lit("MB vs S_max="), s(storage_mb), F.lit("MB — "), said("storage_pass")),
+        F.concat(F.lit("- Memory: "), s("peak_memory_mb"), F.lit("MB vs M_max="), s(memory_mb), F.lit("MB — "), said("memory_pass")),
+        F.concat(F.lit("- Latency: "), s("ttft_ms"), F.lit("ms vs L_max="), s(ttft_ms), F.lit("ms ("), s("tok_s"), F.lit(" tok/s on "), chip, F.lit(") — "), said("latency_pass")),
+        F.concat(F.lit("- Power: not measured — "), said("power_pass")))
+
+
 def configs(params: DataFrame) -> DataFrame:
     """Two configurations for each row of proposed (lora_rank, learning_rate, nr_epochs, batch_size)."""
     rank, rate = nearest_rank(F.col("lora_rank")), F.coalesce("learning_rate", F.lit(2e-4))

@@ -102,6 +102,25 @@ def uct(children: DataFrame, c: float = 1.4142135623730951, group: str = "parent
     return got.withColumn("chosen", F.row_number().over(W.partitionBy(group).orderBy(F.desc("uct"), "id")) == 1)
 
 
+def top_k(nodes: DataFrame, k: int = 3, run: str = "run", id: str = "iteration", score: str = "score") -> DataFrame:
+    """Each run's k best nodes that aren't pruned, with their rank (least id of equals)."""
+    rank = F.row_number().over(W.partitionBy(run).orderBy(F.desc(score), id))
+    return nodes.where(~F.coalesce("pruned", F.lit(False))).withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def fusions(nodes: DataFrame, k: int = 3, run: str = "run", branch: str = "branch", id: str = "iteration", score: str = "score") -> DataFrame:
+    """(run, a, b, gain): pairs of a run's best nodes (of each branch the k best) in different branches, a the better one; gain: what b's score lacks."""
+    best = top_k(nodes.withColumn("_of", F.struct(run, branch)), k, "_of", id, score)
+    side = lambda x: best.select(run, F.col(branch).alias(f"{branch}_{x}"), F.col(id).alias(x), F.col(score).alias(f"s{x}"))
+    pairs = side("a").join(side("b"), run).where((F.col(f"{branch}_a") != F.col(f"{branch}_b")) & ((F.col("sa") > F.col("sb")) | ((F.col("sa") == F.col("sb")) & (F.col("a") < F.col("b")))))
+    return pairs.select(run, "a", "b", (F.col("sa") - F.col("sb")).alias("gain"))
+
+
+def exploration(t: Column, start: float = 1.4142135623730951, half: float = 10.0) -> Column:
+    """Exploration weight at iteration t: halves every `half` iterations."""
+    return F.lit(start) * F.pow(F.lit(0.5), t / half)
+
+
 def recent(log: DataFrame, n: int = 3, run: str = "run", seq: str = "seq") -> DataFrame:
     """Adds detail: 'full' for a run's last n rows, else 'summary'."""
     return log.withColumn("detail", F.when(F.row_number().over(W.partitionBy(run).orderBy(F.desc(seq))) <= n, "full").otherwise("summary"))
@@ -113,8 +132,8 @@ def _field(section: Column, pattern: str, default: str = "?") -> Column:
 
 
 def summary_line(section: Column) -> Column:
-    """One line for a section of a trajectory."""
-    why = F.substring(_field(section, r"Hypothesis:[ \t]*(.+)", ""), 1, 100)
+    """One line for a section of a trajectory; a hypothesis may stand on the line after its name."""
+    why = F.substring(_field(section, r"Hypothesis:\s*(.+)", ""), 1, 100)
     line = F.concat(
         F.lit("- Iter "), _field(section, r"Iteration (\d+)"), F.lit(": f(π)="), _field(section, r"f\(π_\d+\):\s*([\d.]+)"), F.lit(", band="), _field(section, r"Score band:\s*(.+)"),
         F.lit(", intervention="), _field(section, r"Next intervention:\s*(.+)"), F.lit(", model="), _field(section, r"Model:\s*(\S+)"),

@@ -17,13 +17,19 @@ def cost(tokens_in: Column, tokens_out: Column, searches: Column) -> Column:
     return tokens_in / 1e6 * IN_PRICE + tokens_out / 1e6 * OUT_PRICE + searches * SEARCH_PRICE
 
 
+def dollars(tokens_in: Column, tokens_out: Column, searches: Column) -> Column:
+    """Cost to four digits, half to even, from exact decimals: the rounding does not hang on the last bit of a float."""
+    part = lambda c, price: F.coalesce(c, F.lit(0)).cast("decimal(20,0)") * F.lit(f"{price:.6f}").cast("decimal(10,6)")
+    return F.bround(part(tokens_in, IN_PRICE / 1e6) + part(tokens_out, OUT_PRICE / 1e6) + part(searches, SEARCH_PRICE), 4).cast("double")
+
+
 def ledger(usage: DataFrame, *by: str) -> DataFrame:
-    """Usage events (kind 'llm' or 'search', input_tokens, output_tokens, n) to counts and dollars."""
+    """Usage events (kind 'llm' or 'search', input_tokens, output_tokens, n) to counts and dollars of four digits."""
     got = usage.groupBy(*by).agg(
         F.coalesce(F.sum("input_tokens"), F.lit(0)).alias("input_tokens"), F.coalesce(F.sum("output_tokens"), F.lit(0)).alias("output_tokens"),
         F.coalesce(F.sum(F.when(F.col("kind") == "llm", F.col("n"))), F.lit(0)).alias("llm_calls"), F.coalesce(F.sum(F.when(F.col("kind") == "search", F.col("n"))), F.lit(0)).alias("searches"),
     )
-    return got.withColumn("usd", F.bround(cost(F.col("input_tokens"), F.col("output_tokens"), F.col("searches")), 4))
+    return got.withColumn("usd", dollars(F.col("input_tokens"), F.col("output_tokens"), F.col("searches")))
 
 
 def budget_alert(costs: DataFrame, by: str, order: str, usd: str = "usd", limit: float = ALERT) -> DataFrame:
@@ -50,6 +56,13 @@ def regressions(old: DataFrame, new: DataFrame, id: str, ok: str = "ok", by: str
     return keys.join(counted, by, "left").select(by, F.coalesce("regressions", F.lit(0)).alias("regressions")).withColumn("accepted", F.col("regressions") <= most)
 
 
+def checkpoint_gate(old: DataFrame, new: DataFrame, id: str, checkpoint: str = "checkpoint", ok: str = "ok", most: int = 2) -> DataFrame:
+    """One row: the worst count of regressions against any earlier checkpoint's right rows (checkpoint, id, ok), and whether all are few enough."""
+    lost = new.where(~F.col(ok)).select(id)
+    counts = old.select(checkpoint).distinct().join(old.where(ok).select(checkpoint, id).join(lost, id).groupBy(checkpoint).agg(F.count("*").alias("n")), checkpoint, "left")
+    return counts.agg(F.count("*").alias("checkpoints"), F.coalesce(F.max(F.coalesce("n", F.lit(0))), F.lit(0)).alias("worst")).withColumn("accepted", F.col("worst") <= most)
+
+
 def calibration(rows: DataFrame, confidence: str, right: Column, bins: int = 10, weight: float = 0.7) -> DataFrame:
     """(bin, n, accuracy, confidence, calibrated): calibrated = w * accuracy + (1 - w) * confidence."""
     bin_ = F.least(F.floor(F.col(confidence) * bins), F.lit(bins - 1)).cast("int")
@@ -59,7 +72,7 @@ def calibration(rows: DataFrame, confidence: str, right: Column, bins: int = 10,
 
 def replay(rows: DataFrame, order: str, by: str, fraction: float = 0.15, seed: int = 42) -> DataFrame:
     """The first ceil(fraction * n) rows of every group in seeded order: a buffer that covers all groups."""
-    counted = rows.join(F.broadcast(rows.groupBy(by).agg(F.count("*").alias("_n"))), by)
+    counted = rows.withColumn("_n", F.count("*").over(W.partitionBy(by)))
     rank = F.row_number().over(W.partitionBy(by).orderBy(T.seeded(F.col(order), seed), order))
     return counted.withColumn("_rn", rank).where(F.col("_rn") <= F.ceil(F.lit(fraction) * F.col("_n"))).drop("_rn", "_n")
 
@@ -80,6 +93,70 @@ def best_candidate(candidates: DataFrame, by: str, most: int = 2) -> DataFrame:
     return candidates.where(F.col("regressions") <= most).groupBy(by).agg(F.max_by(F.struct("candidate", "score"), F.struct(F.col("score"), -F.col("candidate"))).alias("x")).select(by, F.col("x.candidate").alias("candidate"), F.col("x.score").alias("score"))
 
 
+# Shares of a composition, least and most, in percent.
+SHARES = {"gold": (40, 60), "hard": (25, 35), "replay": (10, 20)}
+
+
+def composition_check(rows: DataFrame, origin: str = "origin") -> DataFrame:
+    """(origin, n, percent, fits): each part's share of a set, and whether it is within its bounds; a part without rows has 0."""
+    parts = rows.sparkSession.createDataFrame([(k, float(a), float(b)) for k, (a, b) in SHARES.items()], "origin string, low double, high double")
+    counts = rows.groupBy(F.col(origin).alias("origin")).agg(F.count("*").alias("n"))
+    total = counts.agg(F.greatest(F.sum("n"), F.lit(1)).alias("total"))
+    got = F.broadcast(parts).join(counts, "origin", "left").crossJoin(F.broadcast(total)).select("origin", F.coalesce("n", F.lit(0)).alias("n"), (F.coalesce("n", F.lit(0)) * 100 / F.coalesce("total", F.lit(1))).alias("percent"), "low", "high")
+    return got.select("origin", "n", "percent", F.col("percent").between(F.col("low"), F.col("high")).alias("fits"))
+
+
+#: A production trace as it is logged, with the judge's configuration that made its verdict.
+TRACE = "trace_id bigint, ts timestamp, input string, prediction string, corrected_output string, verdict string, judge_reasoning string, judge_metadata struct<model:string,prompt_template:string,criteria:string>"
+
+
+def trace_table(rows: DataFrame, model: str, template: str, criteria: str) -> DataFrame:
+    """Traces with a verdict (right if prediction and corrected output are equal) and the judge's configuration, so that verdicts can be made again."""
+    same = F.col("prediction").eqNullSafe(F.col("corrected_output"))
+    judge = F.struct(F.lit(model).alias("model"), F.lit(template).alias("prompt_template"), F.lit(criteria).alias("criteria"))
+    why = F.when(same, "equal").otherwise(F.concat(F.lit("expected "), F.coalesce("corrected_output", F.lit("nothing"))))
+    return rows.select("trace_id", F.col("ts").cast("timestamp").alias("ts"), "input", "prediction", "corrected_output", F.when(same, "pass").otherwise("fail").alias("verdict"), why.alias("judge_reasoning"), judge.alias("judge_metadata"))
+
+
+def query_traces(sql: str, **tables: DataFrame) -> DataFrame:
+    """A query over tables given by name, e.g. query_traces("SELECT … FROM {traces}", traces=df): nothing is registered in the session."""
+    session = next(iter(tables.values())).sparkSession
+    return session.sql(sql, **tables)
+
+
+def failure_categories(failed: DataFrame, category: str, external: str) -> DataFrame:
+    """(category, n, external_n, kind): a category of which most failures lie outside the model is external, else fixable."""
+    got = failed.groupBy(category).agg(F.count("*").alias("n"), F.count_if(F.col(external)).alias("external_n"))
+    return got.withColumn("kind", F.when(2 * F.col("external_n") > F.col("n"), "external").otherwise("fixable"))
+
+
+def entity_type_balance(rows: DataFrame, order: str, entities: str = "entities", ratio: int = 3) -> DataFrame:
+    """(order, place, text, type): spans in order, of each type at most `ratio` times the rarest type's count."""
+    spans = rows.select(order, F.posexplode(entities).alias("place", "s")).select(order, "place", "s.text", "s.type")
+    least = spans.groupBy("type").agg(F.count("*").alias("n")).agg(F.greatest(F.min("n"), F.lit(1)).alias("least"))
+    ranked = spans.withColumn("_rn", F.row_number().over(W.partitionBy("type").orderBy(order, "place")))
+    return ranked.crossJoin(F.broadcast(least)).where(F.col("_rn") <= ratio * F.col("least")).drop("_rn", "least")
+
+
+def similar_to(corrected: DataFrame, rows: DataFrame, id: str, text: str = "text", least: float = 0.5) -> DataFrame:
+    """(id, corrected_id, cosine): rows whose TF-IDF vector is that close to a corrected row's, for corrections to be carried over.
+
+    Corrected rows are a stated query set; what moves is their words and, of all rows, the
+    words that they share.  idf = ln((1 + n) / (1 + df)) + 1.
+    """
+    words = lambda d: d.select(F.col(id).alias("id"), F.explode(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")).alias("w")).groupBy("id", "w").agg(F.count("*").alias("tf"))
+    everyone = words(rows)
+    n = rows.agg(F.count("*").alias("n"))
+    idf = everyone.groupBy("w").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n)).select("w", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    weighed = lambda d: d.join(idf, "w").select("id", "w", (F.col("tf") * F.col("idf")).alias("x"))
+    all_ = weighed(everyone)
+    norms = all_.groupBy("id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    asked = weighed(words(corrected)).join(norms, "id").select(F.col("id").alias("q"), "w", (F.col("x") / F.col("norm")).alias("y"))
+    dots = all_.join(asked, "w").where(F.col("id") != F.col("q")).groupBy("id", "q").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+    got = dots.join(norms, "id").select(F.col("id").alias(id), F.col("q").alias("corrected_id"), (F.col("dot") / F.col("norm")).alias("cosine"))
+    return got.where(F.col("cosine") >= least)
+
+
 def surface_patterns(rows: DataFrame, text: str = "text", label: str = "label") -> DataFrame:
     """(label, patterns): different word-shape signatures of texts; a word's shape has its case and whether it has digits."""
     head = F.slice(F.split(F.coalesce(text, F.lit("")), " "), 1, 4)

@@ -18,25 +18,28 @@ from millrace.sources.files import documents_of, evaluation_json, hits, search_r
 from millrace.streaming import costs
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
+_SQL: dict[str, str | Callable[[], str]] = {}
 
 
-def _query(sql: str | None = None):
+def _query(sql: str | Callable[[], str]):
+    """Registers a query with its SQL; a function, if parts of the SQL are defined further down."""
     def add(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
+        _QUERIES[f.__name__], _SQL[f.__name__] = f, sql
         return f
 
     return add
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import millrace.plans.evaluation  # noqa: F401  (its queries register themselves here)
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    import millrace.plans.evaluation  # noqa: F401
+
+    return {name: sql if isinstance(sql, str) else sql() for name, sql in _SQL.items()}
 
 
 # ---- the tables as the workload's inputs ----------------------------------------------
@@ -75,6 +78,33 @@ _ENT = "e AS (SELECT doc_id, text, list_transform(coalesce(regexp_extract_all(te
 
 # ---- controls -------------------------------------------------------------------------
 
+_WORDS = "list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> ''))"
+_NEAR_PAIRS = f"w AS (SELECT doc_id, {_WORDS} AS w FROM documents), p AS (SELECT a.doc_id AS a, b.doc_id AS b, len(list_intersect(a.w, b.w)) AS o, len(a.w) AS x, len(b.w) AS y FROM w a JOIN w b ON a.doc_id < b.doc_id AND least(len(a.w), len(b.w)) >= 0.9 * greatest(len(a.w), len(b.w))), np AS (SELECT a, b FROM p WHERE o / (x + y - o) >= 0.9)"
+
+
+def _band(source: str) -> str:
+    """CTEs `banded`: the rows of `source` that the band rule keeps; one recursion step a row, the last 50 word sets as its state."""
+    dup = "len(list_filter(recent, lambda r: len(list_intersect(r, w)) / (len(r) + len(w) - len(list_intersect(r, w))) >= 0.9)) > 0"
+    return f"""bw AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w, row_number() OVER (ORDER BY doc_id) AS k FROM {source}),
+bf AS (SELECT 0::BIGINT AS k, NULL::BIGINT AS doc_id, []::VARCHAR[][] AS recent, true AS dup
+  UNION ALL SELECT k, doc_id, CASE WHEN dup OR len(w) = 0 THEN recent ELSE list_append(list_slice(recent, greatest(len(recent) - 48, 1), len(recent)), w) END, dup FROM (SELECT bw.k, bw.doc_id, bw.w, recent, len(w) > 0 AND {dup} AS dup FROM bf JOIN bw ON bw.k = bf.k + 1)),
+banded AS (SELECT doc_id FROM bf WHERE NOT dup)"""
+
+
+def _diverse(source: str) -> str:
+    """CTEs `diverse`: the rows of `source` (doc_id, text, entities) that entity caps keep; one recursion step a contested row."""
+    return f"""dm AS (SELECT doc_id, lower(m.text) AS v FROM (SELECT doc_id, unnest(entities) AS m FROM {source})), dc AS (SELECT v FROM dm GROUP BY v HAVING count(*) > 3),
+dr AS MATERIALIZED (SELECT doc_id, list(v) AS vs, row_number() OVER (ORDER BY doc_id) AS k FROM dm SEMI JOIN dc USING (v) GROUP BY doc_id),
+df AS (SELECT 0::BIGINT AS k, NULL::BIGINT AS doc_id, []::VARCHAR[] AS used, false AS lost
+  UNION ALL SELECT k, doc_id, CASE WHEN lost THEN used ELSE list_concat(used, vs) END, lost FROM (SELECT dr.k, dr.doc_id, dr.vs, used, len(list_filter(vs, lambda v: len(list_filter(used, lambda u: u = v)) >= 3)) > 0 AS lost FROM df JOIN dr ON dr.k = df.k + 1)),
+diverse AS (SELECT * FROM {source} WHERE doc_id NOT IN (SELECT doc_id FROM df WHERE lost))"""
+
+
+def _fitting(source: str, name: str) -> str:
+    """CTE `name`: rows of `source` of at most three times the upper median length."""
+    return f"{name} AS (SELECT * FROM {source} WHERE length(text) <= 3 * (SELECT greatest(n, 1) FROM (SELECT length(text) AS n, row_number() OVER (ORDER BY length(text)) AS rn, count(*) OVER () AS m FROM {source}) WHERE rn = m // 2 + 1))"
+
+
 _CAPPED = "c AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY doc_id) AS rn FROM b) WHERE rn <= 3 * (SELECT min(n) FROM (SELECT count(*) AS n FROM b GROUP BY label)))"
 _FITTING = "k AS (SELECT * FROM c WHERE length(text) <= 3 * (SELECT greatest(n, CASE WHEN n = 0 THEN 1 ELSE n END) FROM (SELECT length(text) AS n, row_number() OVER (ORDER BY length(text)) AS rn, count(*) OVER () AS m FROM c) WHERE rn = m // 2 + 1))"
 
@@ -95,18 +125,19 @@ def length_outlier_filter(spark, d):
     return controls.drop_length_outliers(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.length("text").cast("bigint").alias("chars"))
 
 
-@_query("WITH w AS (SELECT doc_id, lang, list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')) AS w FROM documents), p AS (SELECT a.doc_id AS a, b.doc_id AS b, len(list_intersect(a.w, b.w)) AS o, len(a.w) AS x, len(b.w) AS y FROM w a JOIN w b ON a.doc_id < b.doc_id AND least(len(a.w), len(b.w)) >= 0.9 * greatest(len(a.w), len(b.w)) AND a.lang = b.lang) SELECT a, b FROM p WHERE o / (x + y - o) >= 0.9")
+@_query(f"WITH {_NEAR_PAIRS} SELECT a, b FROM np")
 def jaccard_pairs(spark, d):
-    # The SQL's a.lang = b.lang spares its pairwise join work; near pairs know no language.
     return controls.near_pairs(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
 
 
-@_query()
+@_query(f"""WITH RECURSIVE {_NEAR_PAIRS}, o AS MATERIALIZED (SELECT b AS id, list(a) AS before, row_number() OVER (ORDER BY b) AS k FROM np GROUP BY b),
+f AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS lost UNION ALL SELECT o.k, CASE WHEN len(list_filter(before, lambda x: NOT list_contains(lost, x))) > 0 THEN list_append(lost, o.id) ELSE lost END FROM f JOIN o ON o.k = f.k + 1)
+SELECT doc_id FROM documents WHERE NOT list_contains((SELECT lost FROM f ORDER BY k DESC LIMIT 1), doc_id)""")
 def surface_dedup_global(spark, d):
     return controls.surface_dedup(table(spark, d, "documents").select("doc_id", "text"), "doc_id", mode="global").select("doc_id")
 
 
-@_query()
+@_query(f"WITH RECURSIVE {_band('documents')} SELECT doc_id FROM banded")
 def surface_dedup_band50(spark, d):
     return controls.surface_dedup(table(spark, d, "documents").select("doc_id", "text"), "doc_id", mode="band").select("doc_id")
 
@@ -121,7 +152,7 @@ def entity_over_represented(spark, d):
     return entity_counts(spark, d).where("n > 3")
 
 
-@_query()
+@_query(f"WITH RECURSIVE {_ENT}, {_diverse('e')} SELECT doc_id FROM diverse")
 def entity_diversification(spark, d):
     return controls.diversify_entities(entity_rows(spark, d), "doc_id").select("doc_id")
 
@@ -143,14 +174,21 @@ def per_label_quota_fill(spark, d):
     return controls.select_budget(language_rows(spark, d), "doc_id", 150).select("doc_id", "label")
 
 
-@_query()
+_SEEDED = "md5('42:' || doc_id), doc_id"
+
+
+@_query(lambda: f"""WITH RECURSIVE {_ROUND}, tr AS (SELECT * FROM l WHERE text NOT IN (SELECT text FROM ev)),
+cq AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_SEEDED}) AS rn FROM tr) WHERE rn <= 150 // (SELECT count(DISTINCT label) FROM tr)),
+cr AS (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (ORDER BY {_SEEDED}) AS k FROM tr WHERE text NOT IN (SELECT text FROM cq)) WHERE k <= 150 - (SELECT count(*) FROM cq)),
+cs AS (SELECT * FROM cq UNION ALL SELECT * FROM cr), cc AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY doc_id) AS rn FROM cs) WHERE rn <= 3 * (SELECT min(n) FROM (SELECT count(*) AS n FROM cs GROUP BY label))),
+{_fitting('cc', 'cf')}, {_band('cf')} SELECT doc_id, label FROM cf SEMI JOIN banded USING (doc_id)""")
 def curriculum_classification(spark, d):
     rows = language_rows(spark, d)
     held = evalset.build(rows, "classification", "doc_id")
     return controls.curriculum(rows, held, "doc_id").select("doc_id", "label")
 
 
-@_query()
+@_query(f"""WITH RECURSIVE {_ENT}, tr AS (SELECT * FROM e WHERE text NOT IN (SELECT text FROM e WHERE doc_id % 10 = 0)), cs AS (SELECT * FROM tr ORDER BY {_SEEDED} LIMIT 300), {_diverse('cs')}, {_fitting('diverse', 'cf')} SELECT doc_id FROM cf""")
 def curriculum_ner(spark, d):
     rows = entity_rows(spark, d)
     return controls.curriculum(rows, rows.where("doc_id % 10 = 0"), "doc_id", "NER", 300).select("doc_id")
@@ -232,9 +270,18 @@ def thirds_eval_set(spark, d):
     return evalset.build(table(spark, d, "documents").select("doc_id"), "generation", "doc_id")
 
 
-@_query()
+_ROUND = f"""{_LANG}, {_TURNS}, p0 AS {_draw('l', 40)}, l2 AS (SELECT * FROM l ANTI JOIN p0 USING (doc_id)), bd AS {_draw('l2', 20)}, l3 AS (SELECT * FROM l2 ANTI JOIN bd USING (doc_id)), g0 AS {_draw('l3', 40)},
+ev AS (SELECT l.*, slice FROM l JOIN (SELECT doc_id, 'pos' AS slice FROM p0 UNION ALL SELECT doc_id, 'boundary' FROM bd UNION ALL SELECT doc_id, 'neg' FROM g0) USING (doc_id))"""
+
+
+@_query(f"WITH {_ROUND} SELECT slice, doc_id, label, md5(text) AS text_md5, 'classification' AS task_type, (SELECT count(*) FROM ev) AS total FROM ev")
 def eval_set_json(spark, d):
-    return evaluation_json(evalset.build(language_rows(spark, d), "classification", "doc_id"), "classification", "doc_id")
+    told = evaluation_json(evalset.build(language_rows(spark, d), "classification", "doc_id"), "classification", "doc_id")
+    item = "array<struct<doc_id:bigint,text:string,label:string>>"
+    read = told.select(F.from_json("json", f"task_type string, counts struct<total:bigint>, pos {item}, neg {item}, boundary {item}").alias("j"))
+    named = lambda s: F.transform(f"j.{s}", lambda x: F.struct(F.lit(s).alias("slice"), x.doc_id.alias("doc_id"), x.label.alias("label"), F.md5(x.text).alias("text_md5")))
+    parts = F.flatten(F.array(*[named(s) for s in ("pos", "neg", "boundary")]))
+    return read.select(F.explode(parts).alias("x"), F.col("j.task_type").alias("task_type"), F.col("j.counts.total").alias("total")).select("x.*", "task_type", "total")
 
 
 # ---- scores ---------------------------------------------------------------------------
@@ -336,7 +383,12 @@ def scripted_predictions(spark, d):
 # ---- pages and formats ----------------------------------------------------------------
 
 
-@_query()
+_STRIP = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
+_RAW = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '(?is)<title[^>]*>.*?</title>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"
+_PAGES = f"hits AS (SELECT page_id, url, nullif(regexp_extract(coalesce(html, ''), '(?is)<title[^>]*>(.*?)</title>', 1), '') AS title, left({_STRIP.format(f"regexp_replace({_RAW}, '[ \\t]+', ' ', 'g')")}, 800) AS text FROM pages)"
+
+
+@_query(f"WITH {_PAGES}, t AS (SELECT page_id, url, title, replace({_STRIP.format('text')}, chr(10), ' ') AS t FROM hits) SELECT page_id, left({_STRIP.format("coalesce(title, '')")} || '. ' || t, 700) AS text FROM t WHERE length(t) >= 180 AND NOT contains(url, '/archive/') AND NOT contains(url, '/list/') AND NOT contains(url, '/find/')")
 def web_documents(spark, d):
     return documents_of(hits(table(spark, d, "pages"))).select("page_id", "text")
 
@@ -349,21 +401,22 @@ def web_doc_filter(spark, d):
     return documents_of(rows).select("doc_id", "text")
 
 
-@_query("WITH s AS (SELECT DISTINCT source AS label FROM documents) SELECT label, CASE WHEN label IN ('src1', 'src2') THEN 'about ' || label ELSE label || ' examples' END AS query FROM s")
+@_query("WITH s AS (SELECT DISTINCT source AS label FROM documents) SELECT label, CASE WHEN label IN ('src1', 'src2') THEN 'about ' || label ELSE label || ' example text' END AS query FROM s")
 def label_queries(spark, d):
     labels = table(spark, d, "documents").select(F.col("source").alias("label")).distinct()
     return with_query(labels, spark.createDataFrame([("src1", "about src1"), ("src2", "about src2")], "label string, query string"))
 
 
-@_query()
+@_query(f"WITH {_PAGES}, h AS (SELECT *, regexp_extract(url, '^https?://([^/]+)', 1) AS host FROM hits) SELECT host, string_agg('**' || coalesce(title, '') || '**' || chr(10) || url || chr(10) || left(text, 500), chr(10) || '---' || chr(10) ORDER BY page_id) AS report FROM h GROUP BY host UNION ALL SELECT 'nowhere.org', 'No results found.'")
 def search_reports(spark, d):
-    return search_report(hits(table(spark, d, "pages")).withColumn("host", F.regexp_extract("url", r"^https?://([^/]+)", 1)), "page_id", "host")
+    found = hits(table(spark, d, "pages")).withColumn("host", F.regexp_extract("url", r"^https?://([^/]+)", 1))
+    return search_report(found, "page_id", "host", found.select("host").union(spark.range(1).select(F.lit("nowhere.org"))))
 
 
-@_query("SELECT doc_id, lang AS label, replace(text, chr(10), ' ') AS text FROM documents WHERE length(trim(replace(text, chr(10), ' '))) > 0 AND replace(text, chr(10), ' ') = trim(replace(text, chr(10), ' '), ' ' || chr(9) || chr(13))")
+@_query("WITH f AS (SELECT doc_id, lang, rtrim(replace(text, chr(10), ' '), ' ' || chr(9) || chr(13)) AS t FROM documents) SELECT doc_id, lang AS label, t AS text FROM f WHERE t <> ''")
 def tsv_parse(spark, d):
     flat = F.replace("text", F.lit("\n"), F.lit(" "))
-    rows = table(spark, d, "documents").where((flat == T.strip(flat)) & (F.length(flat) > 0)).select("doc_id", F.concat(F.lit(" "), F.col("lang"), F.lit("\t"), flat, F.lit(" \r")).alias("value"))
+    rows = table(spark, d, "documents").select("doc_id", F.concat(F.lit(" "), F.col("lang"), F.lit("\t"), flat, F.lit(" \r")).alias("value"))
     parts = tsv_rows(rows.select("doc_id", "value").withColumn("value", F.concat(F.col("doc_id").cast("string"), F.lit("\u0001"), F.col("value"))))
     return parts.select(F.split("label", "\u0001")[0].cast("bigint").alias("doc_id"), T.strip(F.split("label", "\u0001")[1]).alias("label"), "text")
 
@@ -470,9 +523,17 @@ def iteration_recent_n(spark, d):
     return lineage.recent(scores(spark, d)).select("seq", "detail")
 
 
-@_query()
+_SHARE = "round_even({} * 100 / greatest(seq % 100 + seq % 53, 1), 0)::BIGINT"
+_ENTRY = f"""'## Iteration ' || seq || ' — ' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || chr(10) || chr(10) || '### Dataset' || chr(10) || '- Dgold: ' || seq % 100 || ' (' || {_SHARE.format('(seq % 100)')} || '%)' || chr(10) || '- Dhard: ' || seq % 53 || ' (' || {_SHARE.format('(seq % 53)')} || '%)' || chr(10) || chr(10) || '### Eval results' || chr(10)
+ || '- f(π_' || seq || '): ' || said || chr(10) || chr(10) || '### Iteration policy decision' || chr(10) || '- Score band: ' || band || chr(10) || '- Next intervention: ' || band || chr(10) || '- Hypothesis: more data' || chr(10) || '- Model: m'"""
+
+
+@_query(f"""WITH r AS (SELECT user_id AS run, event_id AS seq, ts, event_id * 37 % 10000 AS s FROM events), q AS (SELECT *, '0.' || lpad(s::VARCHAR, 4, '0') AS said, CASE WHEN s < 8000 THEN 'data_rebuild' WHEN s < 9500 THEN 'hyperparameter' ELSE 'surgical' END AS band, row_number() OVER (PARTITION BY run ORDER BY seq DESC) AS back, count(*) OVER (PARTITION BY run) AS n FROM r),
+e AS (SELECT run, seq, back, n, {_ENTRY} AS e, '- Iter ' || seq || ': f(π)=' || said || ', band=' || band || ', intervention=' || band || ', model=m — more data' AS line FROM q),
+t AS (SELECT run, n, '# Log' || chr(10) || string_agg(e, chr(10) ORDER BY seq) AS t, string_agg(line, chr(10) ORDER BY seq) FILTER (back > 3) AS old, string_agg(e || CASE WHEN back > 1 THEN chr(10) ELSE '' END, chr(10) ORDER BY seq) FILTER (back <= 3) AS new FROM e GROUP BY run, n)
+SELECT run, CASE WHEN n <= 3 THEN t ELSE '# Log' || chr(10) || chr(10) || '## Compacted history (older iterations)' || chr(10) || old || chr(10) || chr(10) || chr(10) || '## Recent iterations (full detail)' || chr(10) || new END AS compact, (length(t) // 4)::BIGINT AS tokens FROM t""")
 def trajectory_compaction(spark, d):
-    rows = lineage.best_so_far(scores(spark, d)).join(table(spark, d, "events").select(F.col("event_id").alias("seq"), "ts"), "seq")
+    rows = table(spark, d, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("seq"), "ts", (F.col("event_id") * 37 % 10000 / 10000).alias("score"))
     entry = lineage.iteration_entry(iteration=F.col("seq"), ts=F.col("ts"), n_gold=F.col("seq") % 100, n_hard=F.col("seq") % 53, score=F.col("score"), band=lineage.policy(F.col("score")), intervention=lineage.policy(F.col("score")), hypothesis=F.lit("more data"), model=F.lit("m"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", entry.alias("e")))), lambda x: x.e), "\n")
     return rows.groupBy("run").agg(F.concat(F.lit("# Log\n"), text).alias("t")).select("run", lineage.compact(F.col("t")).alias("compact"), T.token_estimate(F.col("t")).alias("tokens"))
@@ -524,6 +585,8 @@ def training_configs(spark, d):
 
 # ---- costs and traces: events as usage ----------------------------------------------------
 
+#: Micro-dollars, whole numbers, to dollars of four digits, half to even.
+_DOLLARS = "(micro // 100 + CASE WHEN micro % 100 > 50 OR (micro % 100 = 50 AND micro // 100 % 2 = 1) THEN 1 ELSE 0 END) / 10000"
 _USAGE = "u AS (SELECT event_id, ts, user_id, CASE WHEN event_id % 3 = 0 THEN 'search' ELSE 'llm' END AS kind, CASE WHEN event_id % 3 > 0 THEN event_id % 1000 END AS input_tokens, CASE WHEN event_id % 3 > 0 THEN event_id % 200 END AS output_tokens, 1 AS n FROM events)"
 
 
@@ -532,16 +595,15 @@ def usage(spark, d):
     return table(spark, d, "events").select("event_id", "ts", "user_id", F.when(llm, "llm").otherwise("search").alias("kind"), F.when(llm, F.col("event_id") % 1000).alias("input_tokens"), F.when(llm, F.col("event_id") % 200).alias("output_tokens"), F.lit(1).alias("n"), F.when(llm, 0).otherwise(1).alias("searches"))
 
 
-@_query(f"WITH {_USAGE}, g AS (SELECT user_id, coalesce(sum(input_tokens), 0)::BIGINT AS input_tokens, coalesce(sum(output_tokens), 0)::BIGINT AS output_tokens, count(*) FILTER (kind = 'llm') AS llm_calls, count(*) FILTER (kind = 'search') AS searches FROM u GROUP BY user_id) SELECT *, round(input_tokens / 1e6 * 3 + output_tokens / 1e6 * 15 + searches * 0.005::DOUBLE, 3) AS usd FROM g")
+@_query(f"WITH {_USAGE}, g AS (SELECT user_id, coalesce(sum(input_tokens), 0)::BIGINT AS input_tokens, coalesce(sum(output_tokens), 0)::BIGINT AS output_tokens, count(*) FILTER (kind = 'llm') AS llm_calls, count(*) FILTER (kind = 'search') AS searches FROM u GROUP BY user_id), m AS (SELECT *, input_tokens * 3 + output_tokens * 15 + searches * 5000 AS micro FROM g) SELECT * EXCLUDE (micro), {_DOLLARS} AS usd FROM m")
 def cost_rollup(spark, d):
-    got = traces.ledger(usage(spark, d), "user_id")
-    return got.withColumn("usd", F.round(traces.cost(F.col("input_tokens"), F.col("output_tokens"), F.col("searches")), 3))
+    return traces.ledger(usage(spark, d), "user_id")
 
 
-@_query(f"WITH {_USAGE}, g AS (SELECT date_trunc('day', ts) AS start, coalesce(sum(input_tokens), 0)::BIGINT AS input_tokens, coalesce(sum(output_tokens), 0)::BIGINT AS output_tokens, count(*) FILTER (kind = 'search') AS searches FROM u GROUP BY 1) SELECT strftime(start, '%Y-%m-%d') AS day, input_tokens, output_tokens, searches FROM g")
+@_query(f"WITH {_USAGE}, g AS (SELECT date_trunc('day', ts) AS start, coalesce(sum(input_tokens), 0)::BIGINT AS input_tokens, coalesce(sum(output_tokens), 0)::BIGINT AS output_tokens, count(*) FILTER (kind = 'search') AS searches FROM u GROUP BY 1), m AS (SELECT *, input_tokens * 3 + output_tokens * 15 + searches * 5000 AS micro FROM g) SELECT strftime(start, '%Y-%m-%d') AS day, input_tokens, output_tokens, searches, {_DOLLARS} AS usd FROM m")
 def cost_windows(spark, d):
     got = costs.cost_rollup(usage(spark, d).withColumns({"input_tokens": F.coalesce("input_tokens", F.lit(0)), "output_tokens": F.coalesce("output_tokens", F.lit(0))}))
-    return got.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "input_tokens", "output_tokens", "searches")
+    return got.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "input_tokens", "output_tokens", "searches", "usd")
 
 
 @_query("SELECT event_id, sum(value) OVER w > 50 AS over_budget FROM (SELECT event_id, user_id, floor(value) AS value FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY event_id)")
@@ -601,7 +663,7 @@ def constrained_best(spark, d):
     return traces.best_candidate(c, "run")
 
 
-@_query()
+@_query("WITH s AS (SELECT lang AS label, array_to_string(list_transform(string_split(coalesce(text, ''), ' ')[1:4], lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN 'd' WHEN regexp_matches(w, '^[A-Z]+$') THEN 'U' WHEN regexp_matches(w, '^[A-Z]') THEN 'C' ELSE 'l' END), '') AS sig FROM documents) SELECT label, count(DISTINCT sig) AS patterns FROM s GROUP BY label")
 def surface_pattern_counts(spark, d):
     return traces.surface_patterns(language_rows(spark, d))
 

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.controls import BAND, NEAR
-from millrace.operators.traces import cost
+from millrace.operators.traces import dollars
 from millrace.shipping import ship
 
 
 def cost_rollup(events: DataFrame, ts: str = "ts", window: str = "1 day", late: str = "1 hour") -> DataFrame:
     """Dollars of a stream (or table) of usage events by window of event time; later ones than `late` are dropped."""
     got = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).groupBy(F.window(ts, window)).agg(F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"), F.sum("searches").alias("searches"))
-    usd = F.bround(cost(F.col("input_tokens"), F.col("output_tokens"), F.col("searches")), 4)
+    usd = dollars(F.col("input_tokens"), F.col("output_tokens"), F.col("searches"))
     return got.select(F.col("window.start").alias("start"), "input_tokens", "output_tokens", "searches", usd.alias("usd"))
 
 
@@ -33,7 +33,7 @@ class _Recent(StatefulProcessor):
             kept = []
             for at, text in enumerate(batch["text"].fillna("")):
                 own = set(text.lower().split())
-                if own and any(len(own & other) >= NEAR * len(own | other) for other in recent):
+                if own and any(len(own & other) / len(own | other) >= NEAR for other in recent):
                     continue
                 kept.append(at)
                 if own:
