@@ -157,7 +157,7 @@ def test_driven_run_rolls_back_and_stops():
     seen.clear()
     run = loop.Run()
     steps = [s for s, _ in loop.drive(run, lambda r: None, lambda r: {"A": "a"}, lambda ref: 0.1 * len(seen) + (seen.append(ref) or 0))]
-    assert steps[-1] == "evaluate" and run.best == pytest.approx(0.3)  # the third rise over nothing, as 0.0 is none
+    assert steps[-1] == "evaluate" and run.best == pytest.approx(0.2)  # the first score of all is a rise, even 0.0
     run = loop.Run(n_models=2)
     steps = [s for s, _ in loop.drive(run, lambda r: None, lambda r: {"A": "a"}, lambda ref: 0.5, most=100)]
     assert steps.count("escalate") == 2 and run.model == 1 and run.action == "terminate"
