@@ -15,6 +15,9 @@ N tokens, V distinct; L depends on log2 c(h) and is fitted by deleted estimation
 training texts, each bigram scored with its own occurrence taken out.  A token that never
 led a training bigram has L = 1.  Probabilities sum to 1 at most.
 
+The texts are scanned once for fit and scores: a text keeps, for each level of c(h) it has,
+its sum of log10 p at every weight of the grid, and the fitted weights choose among them.
+
 Vocabulary and filter are broadcast.  They grow with the corpus, so their size is known
 and checked before they are fetched: beyond `SHARE_BYTES` they are split by slices into
 shards below that size, and the texts are scanned once a shard, collecting their tokens'
@@ -177,6 +180,9 @@ class Shard:
         """Levels of bigrams of this shard, by repeated membership probes."""
         at, s = self.mine(h)
         at = at[self.n_bits[s[at] - self.low] > 0]
+        # A text says many bigrams more than once: each is looked up once
+        _, first, back = np.unique(h[at], return_index=True, return_inverse=True)
+        whole, at = at, at[first]
         level = 0
         while len(at):
             level += 1
@@ -187,6 +193,7 @@ class Shard:
                 hit = (self.filters[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
                 at, own, item = at[hit], own[hit], item[hit]
             out[at] = level
+        out[whole] = out[whole[first]][back]
 
 
 def _shard(rows, n_slices: int, low: int, high: int) -> Shard:
@@ -197,6 +204,10 @@ def _shard(rows, n_slices: int, low: int, high: int) -> Shard:
     return Shard(n_slices, low, high, join("tokens", np.uint64), join("counts", np.int64), join("filter", np.uint8), np.concatenate(([0], np.cumsum(size)[:-1])) * 8, size * 8)
 
 
+def mixture(mixed, pair: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    return (1 - mixed) * pair + mixed * alone
+
+
 @dataclass
 class Model:
     n: int
@@ -206,10 +217,15 @@ class Model:
     def unigram(self, c: np.ndarray) -> np.ndarray:
         return (c + 0.5) / (self.n + 0.5 * (self.v + 1))
 
-    def probability(self, c: np.ndarray, before: np.ndarray, level: np.ndarray) -> np.ndarray:
-        mixed = self.mixed[np.minimum(level_of(before), LEVELS - 1)]
+    def parts(self, c: np.ndarray, before: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each token: its bigram's count as read back, the level of its context, and p(w)."""
         pair = np.minimum(np.where(level > 0, np.exp2(level - 1.0), 0), np.minimum(c, before))
-        return (1 - mixed) * pair / np.maximum(before, 1) + mixed * self.unigram(c)
+        return pair, np.minimum(level_of(before), LEVELS - 1), self.unigram(c)
+
+    def probability(self, c: np.ndarray, before: np.ndarray, level: np.ndarray) -> np.ndarray:
+        pair, own, alone = self.parts(c, before, level)
+        return mixture(self.mixed[own], pair / np.maximum(before, 1), alone)
+
 
 
 def _lookup(share):
@@ -253,40 +269,74 @@ def _collect(share):
     return collect
 
 
-def _deleted(share, model: Model, end: int):
-    """Log-likelihood of training bigrams, their own occurrence taken out, by level of c(h) and weight of the grid."""
-    def deleted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sums(share, model: Model, end: int):
+    """Everything a score needs, in one scan: n_tokens, n_known, base_score, and for each level of c(h) that a text has its sum of log10 p at every weight of the grid.
+
+    Training texts also add to the log-likelihood of their bigrams with their own
+    occurrence taken out; a task gives these totals once, on a row of its own (level null
+    there: `levels` holds nothing and `parts` all LEVELS x GRID sums).
+    """
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = _lookup(share)
-        sums = np.zeros((LEVELS, len(GRID)))
+        left_out = np.zeros((LEVELS, len(GRID)))
+        names = ["id", "held_out", "n_tokens", "n_known", "base_score", "levels", "parts"]
+        kinds = None
         for batch in batches:
-            for _, _, first, c, level in look(batch):
+            trains = ~batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            numbers: list[list[np.ndarray]] = [[], [], []]
+            levels, parts = [], []
+            for i, j, first, c, level in look(batch):
+                at, n = first[:-1], np.diff(first)
+                row = np.repeat(np.arange(j - i), n)
                 before = _before(c, first, end)
-                pair = np.minimum(np.where(level > 0, np.exp2(level - 1.0), 0), np.minimum(c, before))
-                pair = np.maximum(pair - 1, 0) / np.maximum(before - 1, 1)
-                alone = model.unigram(np.maximum(c - 1, 0))
-                own = np.minimum(level_of(before), LEVELS - 1)
+                pair, own, alone = model.parts(c, before, level)
+                for x, y in zip(numbers, (n, np.add.reduceat((c > 0).astype(np.int64), at), np.add.reduceat(np.log10(alone), at)), strict=True):
+                    x.append(y)
+                cells, cell = np.unique(row * LEVELS + own, return_inverse=True)
+                told = np.empty((len(cells), len(GRID)))
+                share_of = pair / np.maximum(before, 1)
                 for k, mixed in enumerate(GRID.tolist()):
-                    sums[:, k] += np.bincount(own, weights=np.log((1 - mixed) * pair + mixed * alone), minlength=LEVELS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(LEVELS), len(GRID)), pa.int32()), pa.array(np.tile(np.arange(len(GRID)), LEVELS), pa.int32()), pa.array(sums.reshape(-1))], ["level", "k", "s"])
-
-    return deleted
+                    told[:, k] = np.bincount(cell, weights=np.log10(mixture(mixed, share_of, alone)), minlength=len(cells))
+                edge = np.searchsorted(cells, np.arange(j - i + 1) * LEVELS)
+                for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                    levels.append((cells[x:y] % LEVELS).astype(np.uint8).tobytes())
+                    parts.append(told[x:y].tobytes())
+                mine = trains[i:j][row]
+                if mine.any():
+                    rest = np.maximum(pair[mine] - 1, 0) / np.maximum(before[mine] - 1, 1)
+                    other = model.unigram(np.maximum(c[mine] - 1, 0))
+                    for k, mixed in enumerate(GRID.tolist()):
+                        left_out[:, k] += np.bincount(own[mine], weights=np.log(mixture(mixed, rest, other)), minlength=LEVELS)
+            kinds = (batch.schema.types[0], pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.binary())
+            out = [np.concatenate(x) if x else [] for x in numbers]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *[pa.array(x, t) for x, t in zip((*out, levels, parts), kinds[2:], strict=True)]], names)
+        if kinds:
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((None, None, None, None, None, None, left_out.tobytes()), kinds, strict=True)], names)
+
+    return sums
+
+
+def _weigh(mixed: np.ndarray):
+    """Rows of `_sums` to their scores: of each level the sum at its weight."""
+    chosen = np.searchsorted(-GRID, -mixed)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = []
+            for levels, parts in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True):
+                own = np.frombuffer(levels, np.uint8)
+                scores.append(float(np.frombuffer(parts, np.float64).reshape(-1, len(GRID))[np.arange(len(own)), chosen[own]].sum()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(scores, pa.float64())], [*batch.schema.names[:5], "score"])
 
+    return weigh
 
-def _score(share, model: Model, end: int):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = _lookup(share)
-        for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], []]
-            for _, _, first, c, level in look(batch):
-                at = first[:-1]
-                values = (np.diff(first), np.add.reduceat((c > 0).astype(np.int64), at), np.add.reduceat(np.log10(model.unigram(c)), at), np.add.reduceat(np.log10(model.probability(c, _before(c, first, end), level)), at))
-                for x, y in zip(columns, values, strict=True):
-                    x.append(y)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            out = [pa.array(np.concatenate(x) if x else [], t) for x, t in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *out], ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    return score
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(LEVELS * len(GRID))
+    for batch in batches:
+        for x in batch.column(0).to_pylist():
+            total += np.frombuffer(x, np.float64)
+    yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["parts"])
 
 
 def score(docs: DataFrame, *, id: str = "doc_id", text: str = "text", out: Column | None = None, share_bytes: int = SHARE_BYTES) -> DataFrame:
@@ -318,12 +368,12 @@ def score(docs: DataFrame, *, id: str = "doc_id", text: str = "text", out: Colum
         share = spark.sparkContext.broadcast(_shard(got, n_slices, low, high))
         if high < n_slices:
             texts = scratch.table(texts.mapInArrow(_collect(share), f"id {kind}, held_out boolean, text string, counts binary, levels binary"), "counts")
-    sums = texts.where(~F.col("held_out")).mapInArrow(_deleted(share, model, end), "level int, k int, s double").groupBy("level", "k").agg(F.sum("s").alias("s")).collect()
+    told = scratch.table(texts.mapInArrow(_sums(share, model, end), f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, levels binary, parts binary"), "sums")
     best = np.zeros((LEVELS, len(GRID)))
-    for r in sums:
-        best[r.level, r.k] = r.s
+    # A row of 5 kB for each task of the scan, added up by shuffle partitions first
+    for r in told.where("levels is null").select("parts").repartition(min(n_slices, 64)).mapInArrow(_added, "parts binary").collect():
+        best += np.frombuffer(r.parts, np.float64).reshape(best.shape)
     mixed = GRID[np.argmax(best, axis=1)]
     mixed[:2] = 1.0  # contexts never seen, or once: nothing is left of them without the occurrence itself
-    model = Model(model.n, model.v, mixed)
-    scored = texts.mapInArrow(_score(share, model, end), f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    scored = told.where("levels is not null").mapInArrow(_weigh(mixed), f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     return scored.select(F.col("id").alias(id), "held_out", "n_tokens", "n_known", F.lit(model.n).cast("bigint").alias("train_tokens"), "base_score", "score")
