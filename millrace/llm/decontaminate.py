@@ -6,8 +6,9 @@ fewer words, but not none, is one window.  The windows' 64-bit hashes are broadc
 documents are scanned once, without a shuffle, every window of theirs is looked up,
 and each match is verified on the words themselves.
 
-Bound of the broadcast: `BLOCK_CHARS` characters of test texts.  A larger benchmark is
-split by item into blocks of that size; the documents are scanned once per block and
+Bound of the broadcast: `BLOCK_BYTES` bytes, of 24 for each window and the test texts
+themselves, some 5 bytes of them a word.  A larger benchmark is split by item into blocks
+of that size (an item of more is a block of its own); the documents are scanned once per block and
 the spans found so far travel with them, so any size gives the same result.
 
 Defined cases.  Null or blank texts have no words and are clean.  Null item ids are
@@ -31,22 +32,39 @@ from millrace.llm import scratch
 from millrace.llm import textkernel as K
 
 WIDTH = 10
-BLOCK_CHARS = 32_000_000
+BLOCK_BYTES = 128_000_000
+#: A character of a test text takes 16 bytes at most: itself (4 in UTF-8) and, as every other one may begin a word, half a window.
+BLOCK_CHARS = BLOCK_BYTES // (4 + 24 // 2)
 _BITS = 18
 
 
 @dataclass
 class Windows:
-    """Windows of one length: sorted hashes, and for each the words with the items that hold them."""
+    """Windows of one length, as arrays: 24 bytes each beside the items' words."""
 
     width: int
+    #: Distinct hashes, ascending, and where the windows of each begin (one more at the end).
     hashes: np.ndarray
-    texts: dict[int, dict[bytes, tuple[str, ...]]]
+    first: np.ndarray
+    #: Of each window, by hash: its span in `words`, and its item.
+    begin: np.ndarray
+    end: np.ndarray
+    item: np.ndarray
     filter: np.ndarray = field(repr=False)
+    #: All items' words, lower-cased, one blank between; and the items' names (both shared by all lengths).
+    words: bytes = field(repr=False)
+    names: list[str] = field(repr=False)
+
+    def owners(self, key: int, said: bytes) -> set[str]:
+        """Items with a window of that hash and these very words."""
+        return {self.names[self.item[k]] for k in range(self.first[key], self.first[key + 1]) if self.words[self.begin[k] : self.end[k]] == said}
 
 
 def build_windows(items: list[tuple[str, str | None]], width: int) -> list[Windows]:
-    found: dict[int, dict[int, dict[bytes, set[str]]]] = {}
+    names = sorted({item for item, _ in items})
+    number = {item: k for k, item in enumerate(names)}
+    found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]] = {}
+    words, at = [], 0
     for item, text in items:
         data = np.frombuffer((text or "").encode(), np.uint8)
         w = K.words_of(data, np.array([0, len(data)]), K.NON_ALNUM, lower=True)
@@ -54,15 +72,22 @@ def build_windows(items: list[tuple[str, str | None]], width: int) -> list[Windo
         if n == 0:
             continue
         wide = min(n, width)
-        words = [x.lower() for x in w.text(0, n)]
-        for i, h in enumerate(K.window_hashes(w.hash, wide).tolist()):
-            found.setdefault(wide, {}).setdefault(h, {}).setdefault(b" ".join(words[i : i + wide]), set()).add(item)
+        own = [x.lower() for x in w.text(0, n)]
+        start = at + np.concatenate(([0], np.cumsum([len(x) + 1 for x in own])))
+        words.append(b" ".join(own) + b" ")
+        at = int(start[-1])
+        h = K.window_hashes(w.hash, wide)
+        found.setdefault(wide, []).append((h, start[: len(h)], start[wide : wide + len(h)] - 1, np.full(len(h), number[item], np.int32)))
+    blob = b"".join(words)
     out = []
-    for wide, by_hash in sorted(found.items()):
-        hashes = np.array(sorted(by_hash), np.uint64)
+    for wide, parts in sorted(found.items()):
+        h, begin, end, item = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(h, kind="stable")
+        h, begin, end, item = h[order], begin[order], end[order], item[order]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         bits = np.zeros(1 << _BITS, bool)
-        bits[hashes >> np.uint64(64 - _BITS)] = True
-        out.append(Windows(wide, hashes, {h: {t: tuple(sorted(s)) for t, s in x.items()} for h, x in by_hash.items()}, bits))
+        bits[h >> np.uint64(64 - _BITS)] = True
+        out.append(Windows(wide, h[first], np.append(first, len(h)), begin, end, item, bits, blob, names))
     return out
 
 
@@ -77,10 +102,11 @@ def _scan_block(w: K.Words, windows: list[Windows]) -> tuple[np.ndarray, dict[in
             continue
         at = np.flatnonzero(kind.filter[h >> np.uint64(64 - _BITS)] & K.windows_within(w.first, kind.width, total))
         near = np.minimum(np.searchsorted(kind.hashes, h[at]), len(kind.hashes) - 1)
-        at = at[kind.hashes[near] == h[at]]
+        same = kind.hashes[near] == h[at]
+        at, near = at[same], near[same]
         rows = np.searchsorted(w.first, at, "right") - 1
-        for i, row, key in zip(at.tolist(), rows.tolist(), h[at].tolist(), strict=True):
-            owners = kind.texts[key].get(b" ".join(w.text(i, i + kind.width)).lower())
+        for i, row, key in zip(at.tolist(), rows.tolist(), near.tolist(), strict=True):
+            owners = kind.owners(key, b" ".join(w.text(i, i + kind.width)).lower())
             if owners:
                 edges[i] += 1
                 edges[i + kind.width] -= 1
