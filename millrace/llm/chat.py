@@ -12,8 +12,9 @@ stands between merged turns, so the turns can be read back one by one.
 The loss mask is an array of (begin, end) code point spans of the formatted text: the
 escaped texts of the assistant's turns, without any control string.
 
-Defined cases.  Null text or role: empty.  Rows that agree in conversation and turn are
-ordered by role, then text; repeated rows are turns of their own.  A null conv_id is one
+Defined cases.  Null text or role: empty.  A null turn comes first.  Rows that
+agree in conversation and turn are ordered by role, then text (as they are, before any
+escape); repeated rows are turns of their own.  A null conv_id is one
 conversation.  Only the named columns are read.  No rows: no conversations.
 """
 
@@ -34,24 +35,24 @@ def unescape(text: Column) -> Column:
 
 
 def _merge(turns: Column) -> Column:
-    """Blocks {role, texts}: sorted turns, adjacent ones of one role together."""
-    kind = "array<struct<role:string,texts:array<string>>>"
+    """Blocks {role, texts}: sorted turns, adjacent ones of one role together.
 
-    def add(done: Column, t: Column) -> Column:
-        last = F.element_at(done, -1)
-        same = (F.size(done) > 0) & F.coalesce(F.try_element_at(done, F.lit(-1)).role == t.role, F.lit(False))
-        grown = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(t.role.alias("role"), F.concat(last.texts, F.array(t.text)).alias("texts"))))
-        return F.when(same, grown).otherwise(F.concat(done, F.array(F.struct(t.role.alias("role"), F.array(t.text).alias("texts")))))
-
-    return F.aggregate(turns, F.array().cast(kind), add)
+    What is aggregated are the places where a role changes; the texts are copied once, from
+    each such place to the next.
+    """
+    role = lambda i: F.try_element_at(turns, i.cast("int")).role
+    starts = F.filter(F.sequence(F.lit(1), F.size(turns)), lambda i: (i == 1) | (role(i) != role(F.greatest(i - 1, F.lit(1)))))
+    end = lambda starts, k: F.coalesce(F.try_element_at(starts, (k + 2).cast("int")), F.size(turns) + 1)
+    return F.transform(starts, lambda s, k: F.struct(role(s).alias("role"), F.transform(F.slice(turns, s, end(starts, k) - s), lambda t: t.text).alias("texts")))
 
 
 def format_conversations(rows: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """Per conversation: its id, formatted, and loss_mask (spans of the turns of `learn`)."""
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    turns = rows.select(F.col(conv).alias("conv"), F.struct(F.col(turn).alias("turn"), escape(blank(role)).alias("role"), escape(blank(text)).alias("text")).alias("t"))
+    turns = rows.select(F.col(conv).alias("conv"), F.struct(F.col(turn).alias("turn"), blank(role).alias("role"), blank(text).alias("text")).alias("t"))
     per = turns.groupBy("conv").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    per = per.select("conv", _merge(F.col("turns")).alias("blocks"))
+    escaped = F.transform("turns", lambda t: F.struct(escape(t.role).alias("role"), escape(t.text).alias("text")))
+    per = per.select("conv", escaped.alias("turns")).select("conv", _merge(F.col("turns")).alias("blocks"))
     body = F.array_join(F.transform("blocks", lambda b: F.concat(F.lit(START), b.role, F.lit(TEXT), F.array_join(b.texts, NEXT), F.lit(END))), "")
     learned = [escape(F.lit(x)) for x in learn]
 

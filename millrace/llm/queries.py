@@ -67,7 +67,7 @@ WITH r AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 s AS (SELECT *, lag(role) OVER o AS before, row_number() OVER o AS k,
     length(replace(replace(role, '\', '\\'), '<|', '<\|')) AS role_chars, length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS text_chars
-  FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text))
+  FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), encode(text)))
 SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,

@@ -117,6 +117,22 @@ def test_chat_round_trip(spark, text):
     assert [tuple(t) for t in got[2].t] == [("", text)] and got[2].m == ""
 
 
+def test_chat_ties_and_null_turns(spark):
+    """Rows of one turn are ordered by role, then text, as they are: an escape would put '<|' before '<a'."""
+    rows = spark.createDataFrame([(1, 0, "user", "<|"), (1, 0, "user", "<a"), (1, None, "user", "first"), (1, 0, "assistant", "x"), (1, 0, "assistant", "x")], "conv_id long, turn long, role string, text string")
+    got = chat.format_conversations(rows).select(chat.parse(F.col("formatted")).alias("t"), chat.masked_text(F.col("formatted"), F.col("loss_mask")).alias("m")).first()
+    assert [tuple(t) for t in got.t] == [("user", "first"), ("assistant", "x"), ("assistant", "x"), ("user", "<a"), ("user", "<|")] and got.m == "xx"
+
+
+def test_decontamination_of_long_texts(spark):
+    """A text longer than a block of the scan, with the item at its end."""
+    item = " ".join(f"q{k}" for k in range(12))
+    long = " ".join(f"w{k % 977}" for k in range(320_000))
+    docs = spark.createDataFrame([(1, long + " " + item), (2, long)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit) for r in decontaminate.report(docs, spark.createDataFrame([(5, item)], "item_id long, text string")).collect()}
+    assert len(long) > 1 << 20 and got == {1: (320_012, 12), 2: (320_000, 0)}
+
+
 def test_no_conversations(spark):
     assert chat.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
@@ -199,6 +215,38 @@ def test_lm_scores(spark, texts, share_bytes):
     assert all(r.score < 0 for r in got)
 
 
+def test_lm_score_column(spark, texts):
+    """Weights and scores from exact counts of bigrams, quantised; a text may differ where the filter errs."""
+    from math import log
+
+    end = None
+    tok = lambda t: [*TOKEN.findall((t or "").translate(LOWER)), end]
+    train = [tok(t) for k, t in texts if not held(k)]
+    c = Counter(x for w in train for x in w)
+    two = Counter(p for w in train for p in zip([end, *w[:-1]], w, strict=True))
+    n, v = sum(c.values()), len(c)
+    alone = lambda x: (x + 0.5) / (n + 0.5 * (v + 1))
+    read = lambda h, x: min(2 ** (two[h, x].bit_length() - 1), c[h], c[x]) if two[h, x] else 0
+    best = {}
+    for w in train:
+        for h, x in zip([end, *w[:-1]], w, strict=True):
+            own = best.setdefault(c[h].bit_length(), [0.0] * len(ngram_lm.GRID))
+            for k, mixed in enumerate(ngram_lm.GRID.tolist()):
+                own[k] += log((1 - mixed) * max(read(h, x) - 1, 0) / max(c[h] - 1, 1) + mixed * alone(max(c[x] - 1, 0)))
+    weight = {level: 1.0 if level < 2 else float(ngram_lm.GRID[int(np.argmax(s))]) for level, s in best.items()}
+    want = []
+    for k, t in texts:
+        w = tok(t)
+        total = 0.0
+        for h, x in zip([end, *w[:-1]], w, strict=True):
+            mixed = weight.get(c[h].bit_length(), 1.0)
+            total += log10((1 - mixed) * read(h, x) / max(c[h], 1) + mixed * alone(c[x]))
+        want.append((str(k), len(w), total))
+    got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in ngram_lm.score(spark.createDataFrame(texts, "doc_id long, text string")).collect())
+    same = [a[:2] == b[:2] and a[2] == pytest.approx(b[2]) for a, b in zip(got, sorted(want), strict=True)]
+    assert sum(same) > 0.9 * len(same) and all(a[2] == pytest.approx(b[2], rel=0.1) for a, b in zip(got, sorted(want), strict=True))
+
+
 def test_lm_probabilities_do_not_exceed_one():
     rng = np.random.default_rng(0)
     c = rng.integers(1, 50, 40)
