@@ -71,6 +71,43 @@ def test_mix_stage(steps):
     assert {(r.doc_id, r.taken) for r in steps[5].collect()} == want
 
 
+def test_stages_of_odd_tables(spark, tmp_path):
+    """Nulls, empty and long texts, ties, repeated rows, names that operators use themselves, no n_chars; and no rows at all."""
+    long = "\n".join(" ".join(f"w{k}x{j % 131}" for j in range(60)) for k in range(4000))
+    same = "one two three four five six seven\neight nine ten eleven twelve thirteen"
+    rows = [(1, same, "a"), (2, same, "a"), (2, same, "a"), (None, same + " more", None), (3, None, "a"), (4, "", None), (5, " \n ", "b"), (6, long, "b"), (None, None, None), (7, "x y", "b")]
+    names = ["accepted", "importance", "removed_chunks", "key", "sid", "component", "items", "spans", "n_words", "__text", "__k0"]
+    docs = spark.createDataFrame([(*r, *[f"{n}{k}" for n in names]) for k, r in enumerate(rows)], "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, "x y")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert len(long) > 1 << 20
+    want = {"quality": range(10), "line_dedup": [0, 3, *range(4, 10)], "near_dedup": [0, 4, 5, 6, 7, 8, 9], "decontaminate": range(9), "mix": None}
+    for name, stage in corpus_pipeline.STAGES:
+        kept = stage(spark, docs, str(tmp_path)).collect()
+        own = sorted(int(r["accepted"].removeprefix("accepted")) for r in kept)
+        assert all(r[c] == f"{c}{r['accepted'].removeprefix('accepted')}" for r in kept for c in names)  # no operator wrote over them
+        if name == "mix":
+            assert own and all(r.taken > 0 and r.size > 0 for r in kept) and not {4, 5, 6, 8} & set(own)
+        elif name == "near_dedup":
+            assert len(own) == 7 and {4, 5, 6, 7, 8, 9} < set(own)
+            assert [r.doc_id for r in kept if r.text == same] == [1]
+        else:
+            assert own == list(want[name]) and all(r.text == rows[int(r["accepted"].removeprefix("accepted"))][1] for r in kept)
+            assert list(kept[0].asDict()) == docs.columns
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_a_run_leaves_other_tables_alone(spark):
+    from millrace.llm import jaccard
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    lazy = jaccard.groups(docs)
+    n = docs.count()
+    corpus_pipeline.line_dedup(spark, docs, SF).count()
+    corpus_pipeline.near_dedup(spark, docs, SF).count()
+    assert lazy.count() == n
+
+
 def test_run_gives_the_stages_rows(spark, steps):
     got = corpus_pipeline.run(spark, SF)
     assert sorted(map(tuple, got.select(steps[5].columns).collect())) == sorted(map(tuple, steps[5].collect()))
