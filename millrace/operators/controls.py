@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from millrace import tables
 from millrace.functions import text as T
 from millrace.shipping import ship
 
@@ -70,19 +71,30 @@ def prompt_length(compat: bool = False) -> Column:
 def near_pairs(rows: DataFrame, id: str, text: str = "text", threshold: float = NEAR) -> DataFrame:
     """(a, b), a < b: pairs of rows whose word sets have that Jaccard similarity.
 
-    Each row posts its n - ceil(t*n) + 1 rarest words; pairs that meet under a word and fit
-    in size are verified on the whole sets.
+    Rows with equal sets are one class.  The classes' sets are written once; each class posts
+    its n - ceil(t*n) + 1 rarest words (rarest by the number of classes that hold them), and
+    pairs of classes that meet under a word and fit in size are verified on the whole sets.
     """
-    sets = rows.select(F.col(id).alias("id"), T.words(F.col(text)).alias("w")).where(F.size("w") > 0)
-    said = sets.select("id", F.size("w").alias("n"), F.explode("w").alias("word"))
-    ranked = said.join(said.groupBy("word").agg(F.count("*").alias("df")), "word")
-    rarest = ranked.withColumn("k", F.row_number().over(W.partitionBy("id").orderBy("df", "word")))
-    posted = rarest.where((F.col("k") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1) & (F.col("df") > 1)).select("word", "id", "n")
+    own = rows.select(F.col(id).alias("id"), F.array_sort(T.words(F.col(text))).alias("w")).where(F.size("w") > 0)
+    own = tables.table(own.withColumn("cls", F.sha2(F.concat_ws("\n", "w"), 256)), "words")
+    sets = tables.table(own.groupBy("cls").agg(F.first("w").alias("w")), "sets")
+    said = sets.select("cls", F.explode("w").alias("word"))
+    common = said.groupBy("word").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = said.join(common, "word").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("held"))
+    # Words that no other class holds come first in a class's order, so that many fewer of the others are posted
+    n = F.size("w")
+    posted = ranked.join(sets, "cls").select("cls", n.alias("n"), F.explode(F.slice("held", 1, F.greatest(F.size("held") - F.ceil(F.lit(threshold) * n).cast("int") + 1, F.lit(0)))).alias("x")).select("cls", "n", "x.word")
+    posted = tables.table(posted, "posted")
     a, b = posted.alias("a"), posted.alias("b")
-    fits = (F.col("a.id") < F.col("b.id")) & (F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n"))
-    pairs = a.join(b, F.col("a.word") == F.col("b.word")).where(fits).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-    left, right = sets.select(F.col("id").alias("a"), F.col("w").alias("wa")), sets.select(F.col("id").alias("b"), F.col("w").alias("wb"))
-    return pairs.join(left, "a").join(right, "b").where(T.jaccard(F.col("wa"), F.col("wb")) >= threshold).select("a", "b")
+    fits = (F.col("a.cls") < F.col("b.cls")) & (F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n"))
+    pairs = a.join(b, F.col("a.word") == F.col("b.word")).where(fits).select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y")).distinct()
+    left, right = sets.select(F.col("cls").alias("x"), F.col("w").alias("wx")), sets.select(F.col("cls").alias("y"), F.col("w").alias("wy"))
+    linked = pairs.join(left, "x").join(right, "y").where(T.jaccard(F.col("wx"), F.col("wy")) >= threshold).select("x", "y")
+    several = own.groupBy("cls").agg(F.count("*").alias("m")).where("m > 1").select(F.col("cls").alias("x"), F.col("cls").alias("y"))
+    linked = tables.table(linked.union(several), "linked")
+    members = own.select("id", "cls")
+    found = linked.join(members.select(F.col("cls").alias("x"), F.col("id").alias("p")), "x").join(members.select(F.col("cls").alias("y"), F.col("id").alias("q")), "y")
+    return found.where((F.col("x") != F.col("y")) | (F.col("p") < F.col("q"))).where("p <> q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
 
 
 def surface_dedup(rows: DataFrame, order: str, mode: str = "band", text: str = "text", threshold: float = NEAR) -> DataFrame:
@@ -96,7 +108,7 @@ def surface_dedup(rows: DataFrame, order: str, mode: str = "band", text: str = "
         ship(rows.sparkSession)
         # One task by definition of the rule; use mode="global" beyond a few 100,000 rows
         return rows.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(_banded(order, text, threshold), rows.schema)
-    gone = greedy_losers(near_pairs(rows, order, text, threshold).persist())
+    gone = greedy_losers(tables.table(near_pairs(rows, order, text, threshold), "pairs"))
     return rows.join(gone.withColumnRenamed("id", "_gone"), F.col(order) == F.col("_gone"), "left_anti")
 
 
@@ -109,10 +121,16 @@ def greedy_losers(pairs: DataFrame) -> DataFrame:
     dropped = pairs.select(F.col("b").alias("id")).limit(0)
     left = pairs
     while not left.isEmpty():
-        kept = left.select(F.col("a").alias("id")).distinct().join(left.select(F.col("b").alias("id")), "id", "left_anti")
-        lost = left.join(kept, left.a == kept.id).select(F.col("b").alias("id")).distinct().persist()
+        # A round's rows are written, so that plans don't grow with the rounds
+        kept = tables.table(left.select(F.col("a").alias("id")).distinct().join(left.select(F.col("b").alias("id")), "id", "left_anti"), "kept")
+        lost = tables.table(left.join(kept, left.a == kept.id).select(F.col("b").alias("id")).distinct(), "lost")
         dropped = dropped.union(lost)
-        left = left.join(lost, left.b == lost.id, "left_anti").join(lost, left.a == lost.id, "left_anti").join(kept, left.a == kept.id, "left_anti").persist()
+        rest = left.join(lost, left.b == lost.id, "left_anti").join(lost, left.a == lost.id, "left_anti").join(kept, left.a == kept.id, "left_anti")
+        rest = tables.table(rest, "left")
+        tables.drop(kept)
+        if left is not pairs:
+            tables.drop(left)
+        left = rest
     return dropped
 
 

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from millrace import tables
+from millrace.functions import text as T
+
 SCORE_BANDS = ((0.80, "data_rebuild"), (0.95, "hyperparameter"))
 GATE = 2
 EPS = 1e-9
@@ -82,17 +85,22 @@ def best_node(dag: DataFrame, run: str = "run", seq: str = "seq") -> DataFrame:
 def backpropagate(nodes: DataFrame, id: str = "id", parent: str = "parent_id", score: str = "score") -> DataFrame:
     """(id, visits, mean_score): every node's score counts for itself and all its ancestors.
 
-    Paths double each round (pointer jumping), so a tree of depth d takes log2(d) joins.
+    Sums double their reach each round: a node that holds the sums of all below it within
+    2**k steps gets those of the nodes exactly 2**k below it.  So a tree of depth d takes
+    log2(d) rounds of one row a node, never pairs of nodes and ancestors.
     """
-    hops = nodes.select(F.col(id).alias("node"), F.col(parent).alias("up")).where("up is not null")
-    reach = nodes.select(F.col(id).alias("node"), F.col(id).alias("anc")).persist()
-    while not hops.isEmpty():
-        more = reach.join(hops.select(F.col("node").alias("anc"), "up"), "anc").select("node", F.col("up").alias("anc"))
-        reach = reach.union(more).persist()
-        far = hops.select(F.col("node").alias("up"), F.col("up").alias("far"))
-        hops = hops.join(far, "up").select("node", F.col("far").alias("up")).persist()
-    scored = reach.join(nodes.select(F.col(id).alias("node"), score), "node")
-    return scored.groupBy(F.col("anc").alias("id")).agg(F.count("*").alias("visits"), F.avg(score).alias("mean_score"))
+    state = nodes.select(F.col(id).alias("id"), F.col(parent).alias("up"), F.lit(1).cast("bigint").alias("n"), F.col(score).isNotNull().cast("bigint").alias("m"), F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("s"))
+    while True:
+        below = state.where("up is not null")
+        if below.isEmpty():
+            return state.select("id", F.col("n").alias("visits"), (F.col("s") / F.nullif(F.col("m"), F.lit(0))).alias("mean_score"))
+        gain = below.groupBy(F.col("up").alias("id")).agg(*[F.sum(c).alias(f"{c}_") for c in "nms"])
+        far = state.select(F.col("id").alias("up"), F.col("up").alias("far"))
+        grown = state.join(far, "up", "left").join(gain, "id", "left")
+        new = tables.table(grown.select("id", F.col("far").alias("up"), *[(F.col(c) + F.coalesce(f"{c}_", F.lit(0))).alias(c) for c in "nms"]), "sums")
+        if state is not nodes:
+            tables.drop(state)
+        state = new
 
 
 def uct(children: DataFrame, c: float = 1.4142135623730951, group: str = "parent_id") -> DataFrame:
@@ -142,16 +150,21 @@ def summary_line(section: Column) -> Column:
 
 
 def compact(trajectory: Column, n: int = 3) -> Column:
-    """A trajectory with all but its last n iterations as one line each."""
-    parts = F.split(trajectory, r"(?m)(?=^## Iteration \d+)")
-    is_iteration = lambda s: F.startswith(F.regexp_replace(s, r"^\s+", ""), F.lit("## Iteration"))
-    iterations, others = F.filter(parts, is_iteration), F.filter(parts, lambda s: ~is_iteration(s))
-    head = F.regexp_replace(F.array_join(others, ""), r"(?U)^\s+|\s+$", "")
-    n_old = F.size(iterations) - n
-    old = F.array_join(F.transform(F.slice(iterations, 1, F.greatest(n_old, F.lit(0))), summary_line), "\n")
-    new = F.array_join(F.slice(iterations, F.greatest(n_old, F.lit(0)) + 1, n), "\n")
+    """A trajectory with all but its last n iterations as one line each.
+
+    A section's place counts from the end: iterations n from it or more are told in a line,
+    later ones in full, and what is no iteration stands in front.
+    """
+    # (?m)(?=…): a section begins where a line does
+    sections = F.split(trajectory, r"(?m)(?=^## Iteration \d+)")
+    told = F.transform(sections, lambda s: F.struct(F.regexp_like(s, F.lit(r"^\s*## Iteration")).alias("iteration"), s.alias("text")))
+    iterations = F.filter(told, lambda x: x.iteration)
+    surplus = F.size(iterations) - n
+    joined = lambda which, one, by: F.array_join(F.transform(F.filter(iterations, which), one), by)
+    head = T.strip(F.array_join(F.transform(F.filter(told, lambda x: ~x.iteration), lambda x: x.text), ""))
+    old, new = joined(lambda x, k: k < surplus, lambda x: summary_line(x.text), "\n"), joined(lambda x, k: k >= surplus, lambda x: x.text, "\n")
     short = F.concat(head, F.lit("\n\n## Compacted history (older iterations)\n"), old, F.lit("\n\n\n## Recent iterations (full detail)\n"), new)
-    return F.when(n_old <= 0, trajectory).otherwise(short)
+    return F.when(surplus > 0, short).otherwise(trajectory)
 
 
 def iteration_entry(**c: Column) -> Column:
