@@ -74,14 +74,24 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, bud
     return ranked.select("source", "source_size", F.coalesce(target, F.col("cap").cast("double")).alias("target"))
 
 
-def mix(docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, budget: int | None = None, seed: str = SEED, quality=quality_of) -> DataFrame:
-    """`docs` with size, source_size, target and taken (words taken, repeats counted)."""
+def mix(docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, budget: int | None = None, seed: str = SEED, quality=quality_of, keep: list[str] | None = None) -> DataFrame:
+    """`docs` (or its columns `keep`) with size, source_size, target and taken (words taken, repeats counted).
+
+    Sizes and keys need the texts.  If the text is not kept, these are written with the kept
+    columns and the texts are read once, else twice.
+    """
     spark = docs.sparkSession
     names = [f"__k{k}" for k in range(len(docs.columns))]
     of = dict(zip(docs.columns, names, strict=True))
     base = docs.toDF(*names).withColumns({"__source": F.col(of[source]).cast("string"), "__size": size_of(F.col(of[text])), "__key": key_of(F.col(of[id]), quality(F.col(of[text])), seed)})
     base = base.withColumn("__bucket", F.least(F.floor(F.col("__key") * GRAIN), F.lit(1 << 40)).cast("bigint"))
-    thin = scratch.table(base.select(F.col("__source").alias("source"), F.col("__size").alias("size"), F.col("__key").alias("key"), F.col("__bucket").alias("bucket")), "mix")
+    kept = list(docs.columns) if keep is None else keep
+    numbers = [F.col("__source").alias("source"), F.col("__size").alias("size"), F.col("__key").alias("key"), F.col("__bucket").alias("bucket")]
+    if text in kept:
+        thin = scratch.table(base.select(*numbers), "mix")
+    else:
+        base = scratch.table(base.select(*[of[c] for c in kept], "__source", "__size", "__key", "__bucket"), "mix")
+        thin = base.select(*numbers)
     goal = scratch.table(targets(thin.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs, budget), "targets")
     small = goal.count() <= BROADCAST_SOURCES
     side = F.broadcast if small else lambda x: x
@@ -105,7 +115,7 @@ def mix(docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str
     taken = F.col("__size") * (F.col("epochs") + F.when(chosen, 1).otherwise(0))
     got = base.join(side(plan), base["__source"].eqNullSafe(plan.s))
     new = {"size": F.col("__size"), "source_size": F.col("source_size"), "target": F.col("target"), "taken": taken.cast("bigint")}
-    return got.select(*[F.col(of[c]).alias(c) for c in docs.columns if c not in new], *[x.alias(c) for c, x in new.items()])
+    return got.select(*[F.col(of[c]).alias(c) for c in kept if c not in new], *[x.alias(c) for c, x in new.items()])
 
 
 #: DuckDB: the same draw over `docs` (doc_id, text, source).

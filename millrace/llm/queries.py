@@ -44,7 +44,7 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(read(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP2_SQL = "WITH docs AS (SELECT doc_id, text, source FROM documents)" + mixing.SQL

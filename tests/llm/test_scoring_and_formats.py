@@ -104,6 +104,8 @@ def test_mix(spark):
         epochs = {r.taken // r.size for r in own if r.size}
         assert max(epochs) - min(epochs) <= 1
     assert mixing.mix(d.limit(0)).count() == 0
+    numbers = ["doc_id", "size", "source_size", "target", "taken"]
+    assert sorted(map(tuple, mixing.mix(d, keep=["doc_id"]).select(numbers).collect()), key=str) == sorted(map(tuple, mixing.mix(d).select(numbers).collect()), key=str)
 
 
 @pytest.mark.parametrize("text", ["", "<|end|>\n", "\\", "\\<|", "a<", "<", "|>", "<|next|><|start|>", "\\### Assistant: </turn> ok", "x\n\n<|text|>\\\\", "日<|本"])
