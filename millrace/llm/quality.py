@@ -49,7 +49,7 @@ SEED = 11
 #: Part of the labelled rows that fits the models; the others fit the cut.
 FIT_FOLDS, FOLDS = 4, 5
 _SCALE = float(1 << 20)
-_PARTS = 16
+_PARTS, _LANES = 16, 8
 _MARKS, _TWICE = np.uint64(1 << 32), np.uint64(1 << 33)
 
 
@@ -216,7 +216,11 @@ def classify(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: st
     number, body = F.col(of[id]).cast("bigint"), F.col(of[text]).cast("string")
     known = labelled(labels, id, quality, toxic, most_labels)
     share = spark.sparkContext.broadcast(known)
-    counted = rows.select(number.alias("id"), body.alias("text")).mapInArrow(_count(share), "part int, counts binary").repartition(_PARTS, "part").mapInArrow(_add, "part int, counts binary")
+    # A task sends two whole arrays, so there are only as many tasks as shuffle partitions (or cores), and they are added up in two steps
+    tasks = max(scratch.partitions(spark), spark.sparkContext.defaultParallelism)
+    arrays = rows.select(number.alias("id"), body.alias("text")).coalesce(tasks).mapInArrow(_count(share), "part int, counts binary")
+    some = arrays.withColumn("lane", F.spark_partition_id() % _LANES).repartition(_PARTS * _LANES, "part", "lane").select("part", "counts").mapInArrow(_add, "part int, counts binary")
+    counted = some.repartition(_PARTS, "part").mapInArrow(_add, "part int, counts binary")
     totals = np.zeros((2, _PARTS, BUCKETS // _PARTS), np.int64)
     for r in counted.collect():
         totals[:, r.part] += np.frombuffer(r.counts, np.int64).reshape(2, -1)
