@@ -82,6 +82,22 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "removed_chunks", F.length("text").cast("bigint").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+OP4_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(range(1, len(ls) + 1)) AS n, unnest(ls) AS x FROM d),
+w AS (SELECT r, doc_id, n, x || chr(10) || lead(x) OVER (PARTITION BY r ORDER BY n) AS y FROM l),
+again AS (SELECT r, n FROM (SELECT r, n, row_number() OVER (PARTITION BY y ORDER BY doc_id, n) AS k FROM w WHERE y <> chr(10)) WHERE k > 1),
+g AS (SELECT r, n FROM again UNION SELECT r, n + 1 FROM again),
+z AS (SELECT l.*, g.n IS NOT NULL AS gone, x = '' AND g.n IS NULL AS hollow FROM l LEFT JOIN g USING (r, n)),
+e AS (SELECT *, bool_or(gone) OVER (PARTITION BY r) AS cut, last_value(CASE WHEN NOT hollow THEN gone END IGNORE NULLS) OVER (PARTITION BY r ORDER BY n ROWS UNBOUNDED PRECEDING) AS before,
+  first_value(CASE WHEN NOT hollow THEN gone END IGNORE NULLS) OVER (PARTITION BY r ORDER BY n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after FROM z),
+o AS (SELECT r, n, x, gone OR (hollow AND cut AND coalesce(before, true) AND coalesce(after, true)) AS gone FROM e),
+c AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY n), false) AS first FROM o),
+k AS (SELECT r, count(*) FILTER (first) AS runs, coalesce(string_agg(x, chr(10) ORDER BY n) FILTER (NOT gone), '') AS kept FROM c GROUP BY r)
+SELECT doc_id, coalesce(runs, 0)::BIGINT AS removed_chunks, length(kept)::BIGINT AS kept_chars, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -138,6 +154,20 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_bytes", n.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: Windows as 128-bit digests of 400 bytes in hexadecimal; marked starts to runs; what is between the runs.
+OP8_SQL = """
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+t AS MATERIALIZED (SELECT r, i, md5_number(substr(x, 2 * i - 1, 800)) AS g FROM (SELECT r, x, unnest(range(1, length(x) // 2 - 398)) AS i FROM d WHERE length(x) >= 800)),
+m AS (SELECT r, i FROM t SEMI JOIN (SELECT g FROM t GROUP BY g HAVING count(*) > 1) USING (g)),
+s AS (SELECT r, i, (i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -1000) + 400)::INT AS new FROM m),
+k AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM s),
+u AS (SELECT r, min(i) AS a, max(i) + 400 AS b FROM k GROUP BY r, run),
+p AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 1) AS c FROM u),
+q AS (SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(x, 2 * c - 1, 2 * (a - c)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) - 1) AS kept FROM p JOIN d USING (r) GROUP BY r)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM d LEFT JOIN q USING (r)
+"""
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.classify(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
     return got.select("doc_id", F.round("importance", 6).alias("importance"), "accepted")
@@ -152,4 +182,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op2_mix_sources": OP2_SQL, "op3_chat_format": OP3_SQL, "op5_jaccard_join": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op7_embedding_dedup": OP7_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op2_mix_sources": OP2_SQL, "op3_chat_format": OP3_SQL, "op4_line_dedup": OP4_SQL, "op5_jaccard_join": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op7_embedding_dedup": OP7_SQL, "op8_suffix_dedup": OP8_SQL}
