@@ -12,7 +12,8 @@ member (its links' count) and a spanning forest of its links, never the pairs; b
 over `BLOCK` members are compared in pairs of blocks.
 
 Defined cases.  Vectors that are null, empty, zero, or hold null or non-finite components
-link with nothing; vectors of different lengths are not compared.  Repeated rows are
+link with nothing; vectors of different lengths are not compared.  A vector whose squared
+norm overflows or underflows a double links with its equals only.  Repeated rows are
 vectors of their own that link with one another.  Rows with equal or null ids are fine;
 the component id is the least non-null id, and a null id is kept if its component has no
 other.  Empty table: empty result.  Only the named columns are read.

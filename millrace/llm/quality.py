@@ -18,7 +18,9 @@ one lost counts as `LOSS` bad ones kept).  The k-th key is found by narrowing hi
 Bounds.  At most `LABELLED` labelled rows, those with the least hashes, are used, and sent
 to all workers; the two models are arrays of `BUCKETS` numbers.  Neither grows with the data.
 
-Defined cases.  Null, empty or blank texts have importance 0.  Labels without an id are
+Defined cases.  Null, empty or blank texts have importance 0.  Ids are whole numbers (a
+text that is none ends the query with Spark's cast error, or counts as null without ANSI
+mode).  Labels without an id are
 ignored; an id with several labels is good only if all are; a null quality or toxic flag
 counts as 1 and 0.  With no good, no bad or no labels at all the cut keeps everything.
 Equal keys (repeated rows) stay or go together.  Empty table: empty result.  Further

@@ -11,7 +11,8 @@ is left.
 At n windows the expected number of false matches is n**2 / 2**65: 0.0004 for 10**8.
 
 Defined cases.  Null or blank texts have no words; texts of fewer words than a window
-keep all.  Null ids come after all others, and never repeat one another.  Rows with equal
+keep all.  Ids are whole numbers (a text that is none ends the query with Spark's cast
+error, or counts as null without ANSI mode).  Null ids come after all others, and never repeat one another.  Rows with equal
 ids are one document for the comparison (neither is smaller) and are cut each by itself.
 Empty table: empty result.  Only the named columns are read.
 """
