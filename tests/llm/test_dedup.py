@@ -277,6 +277,25 @@ def test_line_query_drops_runs(spark, tmp_path):
     assert got == {i: len(texts[0]) if i == 0 else len("a1\na2\na3") for i in range(8)}
 
 
+def test_line_runs_meet_by_chunks_first():
+    """Before, windows met without chunks: a copy sent all its windows."""
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    body = [f"line {rng.random()}" for _ in range(60)]
+    texts = ["\n".join(body), "\n".join(["new", *body]), "one line"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([1, 2, 3]), pa.array(texts)], ["id", "key", "text"])
+    (met,) = list(lines._windowed(iter([batch])))
+    rows = met.to_pylist()
+    for k, t in enumerate(texts[:2]):
+        begin = lines.chunks(np.frombuffer(t.encode(), np.uint8))[0].tolist()
+        assert [r["place"] for r in rows if r["id"] == k + 1] == [t[:b].count("\n") for b in begin]
+    whole, shifted = ({(r["h1"], r["h2"]) for r in rows if r["id"] == k} for k in (1, 2))
+    assert len(whole & shifted) >= len(whole) - 3
+    (windows,) = list(lines._unpacked(iter([met.select(["id", "key", "place", "body"])])))
+    assert [(r["id"], r["place"]) for r in windows.to_pylist()] == [(1, k) for k in range(59)] + [(2, k) for k in range(60)]
+
+
 def test_line_chunks_resist_shifts():
     rng = random.Random(4)
     body = [f"line {rng.random()}" for _ in range(60)]
