@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from millrace.functions import text as T
+from millrace.operators import tfidf
 
 # Dollars for a million tokens in and out, and for a search.
 IN_PRICE, OUT_PRICE, SEARCH_PRICE = 3.0, 15.0, 0.005
@@ -141,20 +142,10 @@ def entity_type_balance(rows: DataFrame, order: str, entities: str = "entities",
 def similar_to(corrected: DataFrame, rows: DataFrame, id: str, text: str = "text", least: float = 0.5) -> DataFrame:
     """(id, corrected_id, cosine): rows whose TF-IDF vector is that close to a corrected row's, for corrections to be carried over.
 
-    Corrected rows are a stated query set; what moves is their words and, of all rows, the
-    words that they share.  idf = ln((1 + n) / (1 + df)) + 1.
+    Corrected rows are a stated query set.  idf = ln((1 + n) / (1 + df)) + 1; see `tfidf`.
     """
-    words = lambda d: d.select(F.col(id).alias("id"), F.explode(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")).alias("w")).groupBy("id", "w").agg(F.count("*").alias("tf"))
-    everyone = words(rows)
-    n = rows.agg(F.count("*").alias("n"))
-    idf = everyone.groupBy("w").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n)).select("w", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    weighed = lambda d: d.join(idf, "w").select("id", "w", (F.col("tf") * F.col("idf")).alias("x"))
-    all_ = weighed(everyone)
-    norms = all_.groupBy("id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    asked = weighed(words(corrected)).join(norms, "id").select(F.col("id").alias("q"), "w", (F.col("x") / F.col("norm")).alias("y"))
-    dots = all_.join(asked, "w").where(F.col("id") != F.col("q")).groupBy("id", "q").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
-    got = dots.join(norms, "id").select(F.col("id").alias(id), F.col("q").alias("corrected_id"), (F.col("dot") / F.col("norm")).alias("cosine"))
-    return got.where(F.col("cosine") >= least)
+    got = tfidf.cosines(corrected, rows, id, text, least)
+    return got.select(F.col("id").alias(id), F.col("q").alias("corrected_id"), "cosine")
 
 
 def surface_patterns(rows: DataFrame, text: str = "text", label: str = "label") -> DataFrame:

@@ -172,10 +172,9 @@ def _pairs(found: list[np.ndarray]) -> pa.RecordBatch:
 def _asked(wanted):
     """(key, text) to (cls, body), the packed sets of rows whose key may be wanted."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits = _Hashes(), np.frombuffer(wanted.value, np.uint8)
+        known = _Hashes()
         for batch in batches:
-            at = batch.column(0).to_numpy().view(np.uint64) % np.uint64(8 * len(bits))
-            held = np.flatnonzero(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+            held = flagged(batch.column(0), wanted.value)
             cls, body = [], []
             for _, h in _sets(batch.column(1).take(pa.array(held)), known):
                 cls.append(_class(h))
@@ -185,7 +184,23 @@ def _asked(wanted):
     return ask
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def flags(keys: np.ndarray) -> bytes:
+    """A bit for each key, in 32 to 64 bits a key (128 MB at most)."""
+    size = 1 << min(max(16, int(32 * len(keys)).bit_length()), 30)
+    bits = np.zeros(size >> 3, np.uint8)
+    at = keys % np.uint64(size)
+    np.bitwise_or.at(bits, at >> np.uint64(3), np.left_shift(1, at & np.uint64(7)).astype(np.uint8))
+    return bits.tobytes()
+
+
+def flagged(keys: pa.Array, raw: bytes) -> np.ndarray:
+    """Places of the keys whose bit is set."""
+    bits = np.frombuffer(raw, np.uint8)
+    at = keys.to_numpy().view(np.uint64) % np.uint64(8 * len(bits))
+    return np.flatnonzero(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+
+
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy().tobytes()], pa.binary())], ["keys"])
 
@@ -242,12 +257,8 @@ def near_classes(rows: DataFrame, id: str, text: str, threshold: float) -> tuple
     least = either.groupBy("cls").agg(F.least("cls", F.min("other")).alias("part"))
     least = tables.table(least, "least")
     rep = own.join(least.select("cls"), "cls").groupBy("cls").agg(F.min("id").alias("id")).select(F.xxhash64("id").alias("key"))
-    keys = np.frombuffer(b"".join(bytes(r.keys) for r in rep.mapInArrow(_packed, "keys binary").collect()), np.uint64)
-    size = 1 << min(max(16, int(32 * len(keys)).bit_length()), 30)
-    bits = np.zeros(size >> 3, np.uint8)
-    at = keys % np.uint64(size)
-    np.bitwise_or.at(bits, at >> np.uint64(3), np.left_shift(1, at & np.uint64(7)).astype(np.uint8))
-    sets = rows.select(F.xxhash64(F.col(id)).alias("key"), lower.alias("text")).mapInArrow(_asked(broadcast(bits.tobytes())), "cls bigint, body binary").dropDuplicates(["cls"])
+    keys = np.frombuffer(b"".join(bytes(r.keys) for r in rep.mapInArrow(packed, "keys binary").collect()), np.uint64)
+    sets = rows.select(F.xxhash64(F.col(id)).alias("key"), lower.alias("text")).mapInArrow(_asked(broadcast(flags(keys))), "cls bigint, body binary").dropDuplicates(["cls"])
 
     placed = met.join(least.withColumnRenamed("cls", "x"), "x")
     need = placed.select("part", F.col("x").alias("cls")).union(placed.select("part", "y")).distinct()

@@ -214,3 +214,61 @@ def test_trace_tools(spark):
     assert [(r.id, r.corrected_id, round(r.cosine, 9)) for r in traces.similar_to(texts.where("id = 1"), texts, "id").collect()] == [(2, 1, 1.0)]
     best = lineage.top_k(spark.createDataFrame([(1, 1, 0.5, False), (1, 2, 0.9, True), (1, 3, 0.7, None)], "run int, iteration int, score double, pruned boolean"), 1).first()
     assert best.iteration == 3
+
+
+def test_similar_to_in_blocks_and_shards(spark, monkeypatch):
+    import math
+    import random
+    from collections import Counter
+
+    from millrace.operators import tfidf
+
+    monkeypatch.setattr(tfidf, "BLOCK_ENTRIES", 40)
+    monkeypatch.setattr(tfidf, "SHARD_WORDS", 30)
+    rng = random.Random(4)
+    words = [f"W{int(90 * rng.random() ** 3)}" for _ in range(3000)] + ["a\u00a0b", "\u0130x"]
+    data = [(k, rng.choice([" ", "\t\n", "\x0b"]).join(rng.choices(words, k=rng.randrange(1, 25)))) for k in range(150)]
+    data += [(200, data[0][1]), (201, None), (202, " "), (7, "w1 w2 w2 w95"), (None, data[1][1]), (None, "w1")]
+    asked = [r for r in data if r[0] is not None and r[0] % 7 == 0] + [(3, "w1 w2 unknown"), (999, "w1 w2"), (None, "w1")]
+
+    def bags(rows):
+        out = {}
+        for i, t in rows:
+            out.setdefault(i, Counter()).update(x.lower() for x in (t or "").replace("\t", " ").replace("\n", " ").replace("\x0b", " ").split(" ") if x)
+        return out
+
+    every, df = bags(data), Counter()
+    for b in every.values():
+        df.update(b.keys())
+    idf = {w: math.log((1 + len(data)) / (1 + df[w])) + 1 for w in df}
+    weigh = lambda b: {w: n * idf[w] for w, n in b.items() if w in idf}
+    norm = {i: math.sqrt(sum(x * x for x in weigh(b).values())) for i, b in every.items()}
+    want = {}
+    for q, b in bags(asked).items():
+        for i, c in every.items():
+            if None not in (q, i) and q != i and norm.get(q) and norm[i]:
+                x, y = weigh(b), weigh(c)
+                cos = sum(v * y.get(w, 0) for w, v in x.items()) / norm[q] / norm[i]
+                if cos >= 0.5:
+                    want[i, q] = round(cos, 9)
+    frame = lambda rows: spark.createDataFrame(rows, "id long, text string")
+    got = {(r.id, r.corrected_id): round(r.cosine, 9) for r in traces.similar_to(frame(asked), frame(data), "id").collect()}
+    assert len(want) > 40 and got == want
+
+
+def test_similar_to_shuffles_little(spark):
+    """Before, every word of every row was shuffled several times."""
+    import random
+    import time
+
+    rng = random.Random(5)
+    words = [f"word{k}" for k in range(3000)]
+    rows = spark.createDataFrame([(k, " ".join(rng.choices(words, k=300))) for k in range(1000)], "id long, text string")
+
+    def written():
+        time.sleep(1)
+        return spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+
+    before = written()
+    assert traces.similar_to(rows.where("id % 50 = 0"), rows, "id").count() == 0
+    assert 0 < written() - before < 1_000_000
