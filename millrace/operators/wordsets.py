@@ -36,7 +36,7 @@ HELD = 1 << 22
 KNOWN_WORDS = 1 << 20
 #: str.split() also splits at these, which aren't blanks in Unicode.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a    　]+")
+_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _SLACK = 1e-9
 
 
