@@ -176,6 +176,28 @@ def test_suffix_dedup(spark, corpus, seed):
     assert got == want
 
 
+def periodic_texts(seed):
+    rng = random.Random(seed)
+    some = lambda: "".join(rng.choice("abcdefgh \n") for _ in range(rng.randrange(1, 300)))
+    pool = ["".join(rng.choice("abcdefgh ,") for _ in range(rng.randrange(1, 50))) for _ in range(3)]
+    heads = [some() for _ in range(2)]
+    for _ in range(8):
+        text = rng.choice([*heads, some()])
+        for _ in range(rng.randrange(1, 3)):
+            piece = rng.choice(pool)
+            text += piece * rng.randrange(1, 1 + 700 // len(piece))
+        yield text + rng.choice([*heads, some()])
+
+
+def test_suffix_dedup_of_periodic_texts(spark):
+    """A piece said again and again holds the same inner phrases at several places of equal outer ones."""
+    texts = [t for seed in (47, 78, 81, 86, 93, 98, 124) for t in periodic_texts(seed)]
+    want = dict(enumerate(brute_suffix(texts)))
+    got = {r.doc_id: (r.n_bytes, sum(s.end - s.begin for s in r.removed), len(r.removed), bytes(r.kept)) for r in suffixes.dedup(frame(spark, list(enumerate(texts)))).collect()}
+    assert sorted(got) == sorted(want)
+    assert [k for k in want if got[k] != want[k]] == []
+
+
 def test_suffix_repeated_rows_are_partners(spark, monkeypatch):
     """Of repeated rows (same id, or none) only one is sent to be compared, and it may come after the others."""
     from pyspark.sql import functions as F
